@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality
+from tidewater.llm import mixing, quality, scratch, tokenstore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the content-addressed store of all documents and reads it back."""
+    tokenizer, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    path = scratch.folder(spark, "token-store")
+    tokenstore.write(table(spark, sf_dir, "documents"), path, tokenizer, pattern)
+    return tokenstore.digests(spark, path, tokenstore.id_kind(tokenizer, pattern))
+
+
 @query
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents"))
