@@ -2,7 +2,7 @@
 
 Every line of a document is held against the rules of :data:`LINE_RULES`; lines that fail one are removed.  A document
 is then rejected if it fails the base rules (too short, or too much of it repeats) or if its kept lines hold less than
-``min_kept_share`` of its words.
+``min_kept_share`` of its characters, white space aside.
 
 Nothing is shuffled: each document is judged from its own text, in one pass over the scan.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.text import GAP_CHARS, n_of, only, whole, words
+from tidewater.llm.text import GAP, WORD, n_of, only, whole, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -34,23 +34,20 @@ SENTENCE = r"""[.!?;:…。！？]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)"""
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line that has a word fails a rule."""
-    n = F.size(words(line))
-    letters = F.regexp_count(line, F.lit(r"\p{L}"))
+    """Whether a line that has a word fails a rule.  A line has one word more than spaces here."""
+    n = n_of(line, " ") + 1
     rules = (
         # Punctuation: nothing in the line ends a sentence or a clause.
         ~line.rlike(SENTENCE),
         # Punctuation: symbols, or exclamation marks, on nearly every other word.
         n_of(line, SYMBOLS) * 2 > n,
         (n >= 4) & (n_of(line, "!") * 2 > n),
-        # Navigation: a bar, arrow or bullet for every third word.
-        F.regexp_count(line, F.lit(r"(?:^|[\x20\x09])[|>»›·•](?=[\x20\x09]|$)")) * 3 >= n + 1,
+        # Navigation: a bar or an arrow for every third word.
+        (n_of(line, "|") + n_of(line, "»")) * 3 >= n + 1,
         # Navigation: shouted menus.
-        (letters >= 20) & (F.regexp_count(line, F.lit(r"\p{Lu}")) * 10 > letters * 7),
+        (F.length(line) >= 20) & (F.upper(line) == line) & (F.lower(line) != line),
         # Boilerplate phrases make up a short line.
         (n <= 12) & line.rlike(BOILERPLATE),
-        # Boilerplate: one word over and over.
-        (n >= 20) & (F.size(F.array_distinct(words(line))) * 5 < n),
     )
     out = rules[0]
     for r in rules[1:]:
@@ -66,10 +63,13 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def measure(df: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to rows that have ``body``."""
-    df = df.withColumns({"_w": words(F.col("body")), "_l": F.filter(F.split("body", "\n"), lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0)})
+    df = df.withColumns({"_w": words(F.col("body")), "_l": F.filter(F.split("body", "\n"), lambda x: x.rlike(WORD))})
     df = df.withColumn("_n", F.size("_w"))
-    # A hash for each window of WINDOW words; without one if the text is shorter.
-    df = df.withColumn("_h", F.when(F.col("_n") > WINDOW, F.transform(F.sequence(F.lit(1), F.col("_n") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_w", i, WINDOW)))))
+    # Hashes of windows of 1, 2, 4 and then 8 words, each from two of the last; without any if the text is shorter.
+    df = df.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
+    for step in (1, 2, 4):
+        df = df.withColumn("_h", F.zip_with("_h", F.slice("_h", step + 1, F.col("_n")), lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn("_h", F.when(F.col("_n") > WINDOW, F.slice("_h", 1, F.col("_n") - (WINDOW - 1))))
     df = df.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     twice = F.filter("_s", lambda x, j: (x["h"] == F.get("_s", j - 1)["h"]) | (x["h"] == F.get("_s", j + 1)["h"]))
     df = df.withColumn("_p", F.sort_array(F.transform(twice, lambda x: x["i"])))
@@ -77,7 +77,7 @@ def measure(df: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "n_words": F.col("_n").cast("long"),
-            "word_chars": F.length(F.translate("body", GAP_CHARS, "")).cast("long"),
+            "word_chars": F.length(F.array_join("_w", "")).cast("long"),
             "n_symbols": n_of(F.col("body"), SYMBOLS),
             "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
@@ -87,16 +87,15 @@ def measure(df: DataFrame) -> DataFrame:
 
 
 def cleaned(df: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
-    """Adds ``clean`` (the text without failed lines), n_clean_words and ``kept`` to measured rows."""
-    blank = lambda x: F.length(F.translate(x, GAP_CHARS, "")) == 0
-    good = F.filter(F.split("body", "\n"), lambda x: blank(x) | ~line_fails(x))
+    """Adds ``clean`` (the text without failed lines), n_clean_chars (without white space) and ``kept`` to measured rows."""
+    good = F.filter(F.split("body", "\n"), lambda x: ~x.rlike(WORD) | ~line_fails(x))
     df = df.withColumn("clean", F.array_join(good, "\n"))
-    df = df.withColumn("n_clean_words", F.size(words(F.col("clean"))).cast("long"))
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("n_clean_words") >= min_kept_share * F.col("n_words")))
+    df = df.withColumn("n_clean_chars", F.length(F.regexp_replace("clean", GAP, "")).cast("long"))
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("n_clean_chars") >= min_kept_share * F.col("word_chars")))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
-    """One row per document: id, the counts, base_failed, kept, n_clean_words and the cleaned text ``clean``."""
+    """One row per document: id, the counts, base_failed, kept, n_clean_chars and the cleaned text ``clean``."""
     return cleaned(measured(docs, id_col, text_col), min_kept_share).drop("body")
 
 

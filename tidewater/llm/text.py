@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than space, tab, \n, \v, \f and \r.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
-GAP_CHARS = " \t\n\x0b\x0c\r"
 
 
 def whole(c: Column) -> Column:
@@ -26,7 +25,9 @@ def n_words(c: Column) -> Column:
 
 def n_of(c: Column, chars: str) -> Column:
     """How many characters of ``c`` are in ``chars``."""
-    return (F.length(c) - F.length(F.translate(c, chars, ""))).cast("long")
+    if len(chars) == 1:
+        return (F.length(c) - F.length(F.replace(c, F.lit(chars), F.lit("")))).cast("long")
+    return F.regexp_count(c, F.lit("[" + "".join(f"\\x{{{ord(x):x}}}" for x in chars) + "]")).cast("long")
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
