@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality, scratch, tokenstore
+from tidewater.llm import mixing, near, quality, scratch, substrings, tokenstore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,10 +34,22 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_words")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_chars")
 
 
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.text_weight(docs["text"])).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_suffix_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing every repeated 200-byte string leaves of each document."""
+    return substrings.repeated(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
+@query
+def op9_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its class of near copies."""
+    return near.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")

@@ -30,6 +30,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,17 +40,22 @@ from tidewater.llm import scratch
 from tidewater.llm.text import only
 
 END_ID = 2
-SPAN = 16
-MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 4096, 9
+SPAN = 8
+MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 8192, 10
 DIGEST = 16
-CACHED_PIECES, CACHED_CHARS = 1_000_000, 48
+CACHED, CACHED_CHARS = 1_000_000, 32
+BATCH_BYTES = 8 << 20
+#: White space other than single spaces and line feeds.
+SPACES = ["  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 
 
 class Encoder:
-    """Byte-level BPE of the tokenizers library, with a memory for the pieces that its own pattern splits texts into.
+    """Byte-level BPE of the tokenizers library, with a memory for the parts of texts that can't affect each other.
 
-    BPE never merges across pieces, so the ids of a text are those of its pieces.  Texts that hold a special token's
-    string go to the library whole.
+    BPE never merges across the pieces that the tokenizer's own pattern splits texts into, so the ids of a text are those
+    of its pieces.  And where single spaces and line feeds are a text's only white space, pieces begin at each of them,
+    so that the parts between can be looked up before any pattern is matched.  Texts that hold a special token's string
+    go to the library whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -57,25 +63,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.pieces = regex.compile(pattern).findall
+        self.split = regex.compile(pattern).findall
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.kind = "<u2" if self.lib.get_vocab_size() < 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
 
-    def raw(self, texts: list[str]) -> list[bytes]:
+    def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def by_piece(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, from those of its pieces."""
+        lists, known = [self.split(t) for t in texts], self.known
+        new = list(set().union(*lists).difference(known))
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = list(set().union(*lists))
+        known.update(zip(new, self.library(new), strict=True))
+        out = [b"".join(map(known.__getitem__, x)) for x in lists]
+        for k in new:
+            if len(k) > CACHED_CHARS:
+                del known[k]
+        return out
+
+    def by_part(self, texts: list[str]) -> list[bytes]:
+        """The ids of plain texts, each distinct part of all of them encoded once."""
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        each = parts.values.dictionary_encode()
+        ends, at = parts.offsets.to_numpy()[1:], each.indices.to_numpy()
+        # A part stands after a space, unless it begins with a line feed or its text.
+        ids = self.by_piece([p if p[:1] == "\n" else " " + p for p in each.dictionary.to_pylist()])
+        heads = self.by_piece([parts.values[int(e)].as_py() for e in parts.offsets.to_numpy()[:-1]])
+        size = np.array([len(x) for x in ids]) // np.dtype(self.kind).itemsize
+        begin = np.cumsum(size) - size
+        n = size[at]
+        upto = np.cumsum(n)
+        values = np.frombuffer(b"".join(ids), self.kind)[np.arange(upto[-1]) + np.repeat(begin[at] - (upto - n), n)]
+        first = parts.offsets.to_numpy()[:-1]
+        return [h + values[upto[f] : upto[e - 1]].tobytes() for h, f, e in zip(heads, first, ends, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        odd = [any(s in t for s in self.special) for t in texts]
-        split = [[] if o else self.pieces(t) for t, o in zip(texts, odd, strict=True)]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known.clear()
-            new = list(set().union(*split))
-        got = dict(zip(new, self.raw(new), strict=True))
-        self.known.update((k, v) for k, v in got.items() if len(k) <= CACHED_CHARS)
-        find = self.known if all(len(k) <= CACHED_CHARS for k in got) else self.known | got
-        return [self.raw([t])[0] if o else b"".join(map(find.__getitem__, p)) for t, o, p in zip(texts, odd, split, strict=True)]
+        out: list[bytes] = [b""] * len(texts)
+        plain, other, whole = [], [], []
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                whole.append(i)
+            elif t[:1] in {"", " ", "\n"} or t[-1] in " \n" or any(s in t for s in SPACES):
+                other.append(i)
+            else:
+                plain.append(i)
+        if plain:
+            for i, r in zip(plain, self.by_part([texts[i] for i in plain]), strict=True):
+                out[i] = r
+        for own, how in ((other, self.by_piece), (whole, self.library)):
+            if own:
+                for i, r in zip(own, how([texts[i] for i in own]), strict=True):
+                    out[i] = r
+        return out
 
 
 @lru_cache(1)
