@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, near, quality, scratch, substrings, tokenstore
+from tidewater.llm import linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,12 +32,32 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.digests(spark, path, tokenstore.id_kind(tokenizer, pattern))
 
 
+@query
+def op2_line_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that goes because an earlier one says the same."""
+    return linehash.removals(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_line_hashes"] = linehash.ORACLE
+
+
 @query
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_chars")
 
 
+@query
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the page table's archive, resolved; headers as one string."""
+    out = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return out.withColumn("headers", headers)
+
+
+ORACLE["op6_warc_revisits"] = revisits.ORACLE
+
+
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -53,3 +74,12 @@ def op8_suffix_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its class of near copies."""
     return near.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk of lines that goes because an earlier one has the same bytes."""
+    return linechunks.removals(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_line_chunks"] = linechunks.ORACLE

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,10 +16,29 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tidewater/{name}-{uuid.uuid4().hex}"
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of few MB, so that rows with long texts or sets don't add up in Python workers."""
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH)
+        else:
+            spark.conf.set(BATCH, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read again: cuts the lineage, and lost executors cost no recomputation."""
     path = folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,8 @@ two kinds of rows, in ascending order of doc_id within and across shards:
 
 ``kind=doc``
     doc_id, shard, local_start (ids before it in its shard), n_tokens, ``digests`` and ``lens`` (its recipe: chunk
-    addresses and lengths, in order), ``foreign`` (which chunks other documents hold), ``shared`` (which chunks it holds
-    for others too), ``payload`` (the ids of the chunks that it holds, each distinct chunk of the whole store once,
+    addresses and lengths, in order), ``foreign`` (which chunks other documents hold; null: none), ``shared`` (which chunks it
+    holds for others too; null: none), ``payload`` (the ids of the chunks that it holds, each distinct chunk of the whole store once,
     zstd over little-endian unsigned integers) and ``root`` (Merkle root of the recipe).
 ``kind=shard``
     shard, n_tokens, n_docs and ``root``, the Merkle root over the roots of its documents.
@@ -24,6 +24,7 @@ columns aren't read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -43,8 +44,9 @@ END_ID = 2
 SPAN = 8
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 8192, 10
 DIGEST = 16
-CACHED, CACHED_CHARS = 1_000_000, 32
-BATCH_BYTES = 8 << 20
+CACHED = 1_000_000
+ROWS = 3000
+MARKS = frozenset(".,;:!?")
 #: White space other than single spaces and line feeds.
 SPACES = ["  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 
@@ -65,41 +67,52 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.split = regex.compile(pattern).findall
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.kind = "<u2" if self.lib.get_vocab_size() < 1 << 16 else "<u4"
+        self.kind, self.kind_code = ("<u2", "H") if self.lib.get_vocab_size() < 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.kind_code, e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self.known))
+        if len(self.known) + len(new) > CACHED:
+            self.known.clear()
+            new = list(pieces)
+        self.known.update(zip(new, self.library(new), strict=True))
 
     def by_piece(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, from those of its pieces."""
-        lists, known = [self.split(t) for t in texts], self.known
-        new = list(set().union(*lists).difference(known))
-        if len(known) + len(new) > CACHED:
-            known.clear()
-            new = list(set().union(*lists))
-        known.update(zip(new, self.library(new), strict=True))
-        out = [b"".join(map(known.__getitem__, x)) for x in lists]
-        for k in new:
-            if len(k) > CACHED_CHARS:
-                del known[k]
-        return out
+        lists = [self.split(t) for t in texts]
+        self.learn(set().union(*lists))
+        return [b"".join(map(self.known.__getitem__, x)) for x in lists]
 
     def by_part(self, texts: list[str]) -> list[bytes]:
-        """The ids of plain texts, each distinct part of all of them encoded once."""
-        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        """The ids of plain texts, each distinct part of all of them encoded once.
+
+        A part stands after a space, unless it begins with a line feed or its text.  Letters are one piece, and so is a
+        single mark after them.
+        """
+        parts = pc.split_pattern(pc.replace_substring(pa.array([f"\n{t}" for t in texts], pa.large_string()), "\n", " \n"), " ")
         each = parts.values.dictionary_encode()
-        ends, at = parts.offsets.to_numpy()[1:], each.indices.to_numpy()
-        # A part stands after a space, unless it begins with a line feed or its text.
-        ids = self.by_piece([p if p[:1] == "\n" else " " + p for p in each.dictionary.to_pylist()])
-        heads = self.by_piece([parts.values[int(e)].as_py() for e in parts.offsets.to_numpy()[:-1]])
-        size = np.array([len(x) for x in ids]) // np.dtype(self.kind).itemsize
-        begin = np.cumsum(size) - size
-        n = size[at]
-        upto = np.cumsum(n)
-        values = np.frombuffer(b"".join(ids), self.kind)[np.arange(upto[-1]) + np.repeat(begin[at] - (upto - n), n)]
-        first = parts.offsets.to_numpy()[:-1]
-        return [h + values[upto[f] : upto[e - 1]].tobytes() for h, f, e in zip(heads, first, ends, strict=True)]
+        one, two, more = [], [], []
+        for i, p in enumerate(each.dictionary.to_pylist()):
+            if p.isalpha():
+                one.append((i, " " + p))
+            elif p[-1:] in MARKS and p[:-1].isalpha():
+                two.append((i, " " + p[:-1], p[-1]))
+            else:
+                more.append((i, self.split(p if p[:1] == "\n" else " " + p)))
+        self.learn({p for _, p in one}.union((p for _, p, _ in two), (m for _, _, m in two), *[x for _, x in more]))
+        ids, known = [b""] * len(each.dictionary), self.known
+        for i, p in one:
+            ids[i] = known[p]
+        for i, p, m in two:
+            ids[i] = known[p] + known[m]
+        for i, x in more:
+            ids[i] = b"".join(map(known.__getitem__, x))
+        at, offsets, feed = each.indices.to_pylist(), parts.offsets.to_pylist(), len(known["\n"]) if "\n" in known else 0
+        # The line feed put before each text, and the empty part before it, aren't the text's.
+        return [b"".join(map(ids.__getitem__, at[a + 1 : b]))[feed:] for a, b in zip(offsets, offsets[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -107,7 +120,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if any(s in t for s in self.special):
                 whole.append(i)
-            elif t[:1] in {"", " ", "\n"} or t[-1] in " \n" or any(s in t for s in SPACES):
+            elif t[:1] in {"", " ", "\n"} or t[-1] in " \n" or any(s in t for s in SPACES) or not narrow(t):
                 other.append(i)
             else:
                 plain.append(i)
@@ -121,6 +134,15 @@ class Encoder:
         return out
 
 
+def narrow(text: str) -> bool:
+    """Whether all characters are of the first 256, about which every Unicode table agrees."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(1)
 def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
@@ -163,7 +185,7 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-STAGED = "doc_id long, tie binary, n_tokens int, digests array<binary>, lens array<int>, payload binary"
+STAGED = "doc_id long, root binary, n_tokens int, digests array<binary>, lens array<int>, payload binary"
 
 
 def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFrame:
@@ -173,8 +195,8 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
         enc, pack = encoder(tokenizer, pattern), zstandard.ZstdCompressor(1)
         width, end = np.dtype(enc.kind).itemsize, np.array([end_id], enc.kind).tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 raw = [r + end for r in enc.encode(texts)]
                 n = np.array([len(r) // width for r in raw])
@@ -188,10 +210,10 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
                     for k in ls:
                         own.append(blake2b(r[p : (p := p + k * width)], digest_size=DIGEST).digest())
                     digests.append(own)
-                tie = [blake2b(b"".join(d), digest_size=DIGEST).digest() for d in digests]
+                roots = [merkle(d) for d in digests]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(tie, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
-                    ["doc_id", "tie", "n_tokens", "digests", "lens", "payload"],
+                    [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
+                    ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
                 )
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, STAGED)
@@ -207,38 +229,35 @@ def shards(rows: DataFrame, kind: str) -> DataFrame:
         pack, unpack, width = zstandard.ZstdCompressor(3), zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
         shard, start, roots, pending = TaskContext.get().partitionId(), 0, [], None
         for batch in batches:
-            out: list[dict] = []
-            size = 0
-            for r in batch.to_pylist():
-                if r["payload"] is None:
-                    pending = r
-                    continue
-                k = len(r["lens"])
-                foreign, shared = [False] * k, [False] * k
-                if pending is not None and pending["uid"] == r["uid"]:
-                    for i in pending["borrowed"]:
-                        foreign[i] = True
-                    for i in pending["lent"]:
-                        shared[i] = True
-                pending = None
-                payload = r["payload"]
-                if any(foreign):
-                    raw, p, own = unpack.decompress(payload), 0, []
-                    for f, m in zip(foreign, r["lens"], strict=True):
-                        if not f:
-                            own.append(raw[p : p + m * width])
-                        p += m * width
-                    payload = pack.compress(b"".join(own))
-                root = merkle(r["digests"])
-                roots.append(root)
-                out.append({"kind": "doc", "shard": shard, "doc_id": r["doc_id"], "local_start": start, "n_tokens": r["n_tokens"], "n_docs": None, "digests": r["digests"], "lens": r["lens"], "foreign": foreign, "shared": shared, "payload": payload, "root": root})
-                start += r["n_tokens"]
-                size += len(payload)
-                if size > 16 << 20:
-                    yield pa.RecordBatch.from_pylist(out, SCHEMA)
-                    out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_pylist(out, SCHEMA)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                own, starts, foreign, shared, payloads = [], [], [], [], []
+                for i, (uid, payload, n, borrowed, lent) in enumerate(zip(*[part.column(c).to_pylist() for c in ("uid", "payload", "n_tokens", "borrowed", "lent")], strict=True)):
+                    if payload is None:
+                        pending = (uid, set(borrowed), set(lent))
+                        continue
+                    mine = pending is not None and pending[0] == uid
+                    lens = part.column("lens")[i].as_py() if mine else None
+                    foreign.append([j in pending[1] for j in range(len(lens))] if mine else None)
+                    shared.append([j in pending[2] for j in range(len(lens))] if mine else None)
+                    if mine and pending[1]:
+                        raw, p, left = unpack.decompress(payload), 0, []
+                        for f, m in zip(foreign[-1], lens, strict=True):
+                            if not f:
+                                left.append(raw[p : p + m * width])
+                            p += m * width
+                        payload = pack.compress(b"".join(left))
+                    payloads.append(payload)
+                    own.append(i)
+                    starts.append(start)
+                    start += n
+                    pending = None
+                if own:
+                    rows = part.take(pa.array(own))
+                    roots += rows.column("root").to_pylist()
+                    columns = [pa.repeat("doc", len(own)), pa.repeat(pa.scalar(shard, pa.int32()), len(own)), rows.column("doc_id"), pa.array(starts, pa.int64()), rows.column("n_tokens").cast(pa.int64()), pa.nulls(len(own), pa.int64())]
+                    columns += [rows.column("digests").cast(SCHEMA.field("digests").type), rows.column("lens").cast(SCHEMA.field("lens").type), pa.array(foreign, SCHEMA.field("foreign").type), pa.array(shared, SCHEMA.field("shared").type), pa.array(payloads, pa.binary()), rows.column("root")]
+                    yield pa.RecordBatch.from_arrays(columns, schema=SCHEMA)
         if roots:
             yield pa.RecordBatch.from_pylist([{"kind": "shard", "shard": shard, "n_tokens": start, "n_docs": len(roots), "root": merkle(roots)}], SCHEMA)
 
@@ -258,13 +277,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
     at = scratch.folder(spark, "ids")
     staged(only(docs, "doc_id", "text"), tokenizer, pattern, end_id).withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "none").parquet(at)
     rows = spark.read.parquet(at)
-    uses = rows.select("doc_id", "tie", "uid", F.posexplode("digests").alias("i", "digest"))
-    holder = uses.groupBy("digest").agg(F.min(F.struct("doc_id", "tie", "uid", "i")).alias("h"), F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("d"), "h")
+    uses = rows.select("doc_id", "root", "uid", F.posexplode("digests").alias("i", "digest"))
+    holder = uses.groupBy("digest").agg(F.min(F.struct("doc_id", "root", "uid", "i")).alias("h"), F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("d"), "h")
     told = uses.join(holder, F.col("digest") == F.col("d"))
     mine = (F.col("uid") == F.col("h.uid")) & (F.col("i") == F.col("h.i"))
-    told = told.groupBy("doc_id", "tie", "uid").agg(F.collect_list(F.when(~mine, F.col("i"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("i"))).alias("lent"))
+    told = told.groupBy("doc_id", "root", "uid").agg(F.collect_list(F.when(~mine, F.col("i"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("i"))).alias("lent"))
     both = rows.unionByName(told, allowMissingColumns=True)
-    dealt = both.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie", "uid", F.col("payload").isNotNull())
+    dealt = both.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root", "uid", F.col("payload").isNotNull())
     shards(dealt, kind).write.partitionBy("kind").option("compression", "none").parquet(path)
     scratch.drop(spark, at)
 
@@ -276,18 +295,19 @@ def read(spark: SparkSession, path: str, kind: str) -> DataFrame:
     # One row a shard: as many as there were write tasks.
     docs = rows.filter("kind = 'doc'").join(F.broadcast(sums), F.col("shard") == F.col("s")).withColumn("start", F.col("base") + F.col("local_start"))
     docs = docs.select("doc_id", "start", "n_tokens", "digests", "lens", "foreign", "shared", "payload", "root")
-    lent = docs.filter(F.exists("shared", lambda x: x)).select("digests", "lens", "foreign", "shared", "payload").mapInArrow(lent_chunks(kind), "address binary, chunk binary")
-    some = docs.filter(F.exists("foreign", lambda x: x))
+    lent = docs.filter(F.coalesce(F.exists("shared", lambda x: x), F.lit(False))).select("digests", "lens", "foreign", "shared", "payload").mapInArrow(lent_chunks(kind), "address binary, chunk binary")
+    borrows = F.coalesce(F.exists("foreign", lambda x: x), F.lit(False))
+    some = docs.filter(borrows)
     wanted = some.select(F.col("start").alias("to"), F.posexplode(F.arrays_zip("digests", "foreign")).alias("i", "x")).filter("x.foreign").select("to", "i", F.col("x.digests").alias("digest"))
     pieces = wanted.join(lent, F.col("digest") == F.col("address")).groupBy("to").agg(F.sort_array(F.collect_list(F.struct("i", "chunk"))).alias("pieces"))
-    done = docs.filter(~F.exists("foreign", lambda x: x)).withColumn("pieces", F.lit(None).cast("array<struct<i:int,chunk:binary>>"))
+    done = docs.filter(~borrows).withColumn("pieces", F.lit(None).cast("array<struct<i:int,chunk:binary>>"))
     return done.unionByName(some.join(pieces, F.col("start") == F.col("to"), "left").drop("to"))
 
 
 def held(r: dict, unpack: zstandard.ZstdDecompressor, width: int) -> Iterator[tuple[int, bytes]]:
     """Index and bytes of the chunks that a row holds itself."""
     raw, p = unpack.decompress(r["payload"]), 0
-    for i, (m, f) in enumerate(zip(r["lens"], r["foreign"], strict=True)):
+    for i, (m, f) in enumerate(zip(r["lens"], r["foreign"] or [False] * len(r["lens"]), strict=True)):
         if not f:
             yield i, raw[p : (p := p + m * width)]
 
@@ -306,7 +326,7 @@ def lent_chunks(kind: str):
 
 def stream(r: dict, unpack: zstandard.ZstdDecompressor, width: int) -> bytes:
     """All ids of a row of read(); raises if a chunk isn't what its address or the root says."""
-    if not any(r["foreign"]):
+    if not any(r["foreign"] or ()):
         out = unpack.decompress(r["payload"])
         parts, p = [], 0
         for m in r["lens"]:
