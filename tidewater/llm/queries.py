@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore
+from tidewater.llm import contamination, linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,6 +47,12 @@ def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_chars")
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, or an edited copy of one, with the item and the score."""
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every revisit of the page table's archive, resolved; headers as one string."""
