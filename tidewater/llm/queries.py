@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import contamination, linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore
+from tidewater.llm import contamination, linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,12 @@ def op2_line_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op2_line_hashes"] = linehash.ORACLE
 
 
+@query
+def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents"))
