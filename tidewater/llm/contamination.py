@@ -154,3 +154,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
     scored = both.mapInArrow(align, "doc_id long, item_id long, score double").filter(F.col("score") >= threshold)
     return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+
+
+def stage(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents of ``docs`` that hold no item, in its columns."""
+    bad = scratch.written(contaminated(docs, items, threshold).select(F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]), "left_anti")

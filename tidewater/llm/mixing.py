@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.quality import SYMBOLS
-from tidewater.llm.text import n_of, n_words, whole
+from tidewater.llm.text import WORD, n_of, n_words, whole, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -100,3 +100,22 @@ def mix(
     taken = epochs * size + F.greatest(F.lit(0), F.least(size, left))
     out = ["doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")]
     return df.select(*out, *(["_carry"] if carry is not None else []))
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word."""
+    before = F.slice(F.split(text, WORD), F.lit(1), n)  # the white space before each word
+    own = F.slice(words(text), F.lit(1), n)
+    return F.substring(text, F.lit(1), F.length(F.array_join(before, "")) + F.length(F.array_join(own, "")))
+
+
+def stage(docs: DataFrame, seed: int = 20240607) -> DataFrame:
+    """The mix in the columns of ``docs``: a row for each time a document is taken; the last, if it is taken in part, ends there."""
+    names = docs.columns
+    df = mix(docs, text_weight(docs["text"]), seed=seed, carry=F.struct(*[docs[c] for c in names])).filter("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    part = (F.col("taken") - (F.col("_copy") - 1) * F.col("size")).cast("int")
+    text = F.when(part >= F.col("size"), F.col("_carry")["text"]).otherwise(first_words(F.col("_carry")["text"], part))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return df.select(*[new.get(c, F.col("_carry")[c]).alias(c) for c in names])

@@ -103,6 +103,10 @@ def stage(docs: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """The documents that pass, with their failed lines removed, in the columns of ``docs``."""
     names = docs.columns
     df = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), whole(docs["text"]).alias("body"))
-    df = cleaned(measure(df), min_kept_share).filter("kept")
+    df = cleaned(measure(df), min_kept_share)
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
-    return df.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in names])
+    row = F.struct(*[new.get(c, F.col("_row")[c]).alias(c) for c in names])
+    # A filter on ``kept`` would be moved down to the scan with all that it stands for, nested and so computed again and
+    # again.  What an array holds isn't moved.
+    df = df.select(F.explode_outer(F.when(F.col("kept"), F.array(row))).alias("_out")).filter(F.col("_out").isNotNull())
+    return df.select(*[F.col("_out")[c].alias(c) for c in names])
