@@ -1,14 +1,21 @@
-"""The engine's registered queries."""
+"""The engine's registered queries, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from tidewater.operators import topics
+from tidewater.plans import log_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(log_queries.QUERIES)
+ORACLE: dict[str, str] = dict(log_queries.ORACLE)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    """Messages of all topics that match a pattern, from earliest to latest, counted and summed by hour and type."""
+    log = topics.select_topics(log_queries.log(spark, sf_dir), pattern="topic://main/default/.*")
+    out = log.groupBy(F.window("__publishTime", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return out.select(F.unix_micros("w.start").alias("window_us"), "event_type", "n", "total")

@@ -1,0 +1,31 @@
+"""JSON payloads to columns, in Spark's own JSON functions.
+
+A payload that isn't a JSON object gives nulls in every field.  Unknown fields are dropped and missing ones null, names
+are case-sensitive, and of a name that comes twice the last counts.  An empty string for a field that isn't a string is
+null.  A field of the wrong type is null, and the others are kept; see README for where this differs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CORRUPT = "_corrupt_record"
+
+
+def decode(payload: Column, schema: T.StructType) -> Column:
+    """A struct of the payload's fields; the payload is text or UTF-8 bytes."""
+    return F.from_json(payload.cast("string"), schema, {"mode": "PERMISSIVE"})
+
+
+def flagged(payload: Column, schema: T.StructType) -> Column:
+    """Whether anything in the payload didn't fit the schema."""
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(payload.cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})[CORRUPT].isNotNull()
+
+
+def flattened(log: DataFrame, payload: str, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """The payload's fields as top-level columns, then the columns ``keep``."""
+    df = log.withColumn("_value", decode(F.col(payload), schema))
+    return df.select(*[F.col("_value")[n].alias(n) for n in schema.fieldNames()], *keep)
