@@ -12,8 +12,11 @@ are repeated.  The other contexts of a group are sorted: the suffixes that start
 prefixes that end there, both by :mod:`deepshallow`.  Common prefixes in both orders give, for any two contexts, how far
 they agree to either side, and so which of their windows are equal.
 
-Groups of more than ``MANY`` different contexts are never gathered: each of their windows is counted by its 128-bit
-hash instead, with partial sums before the shuffle; that is exact as well and linear in the group.
+Groups of more than ``MANY`` different contexts are never gathered.  They are split by offsets, halving the range each
+time: the windows of a half share more bytes around the anchor, so contexts, cut to those windows, form smaller groups
+by those bytes, or become equal to others and are decided.  At one offset a group is one window.  A context has two
+halves at most, and those that stand alone drop out, so that a level is no larger than twice the one before, and eight
+levels are the most there can be.
 
 Defined results for odd input: a null text has no bytes; texts of fewer than LENGTH bytes lose none; a text that
 repeats as a row loses all its bytes if it has LENGTH of them; ids may repeat or be null; other columns aren't read; an
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,7 @@ from tidewater.llm.text import only, whole
 LENGTH = 200
 K = 64
 BLOCK = 1 << 20
-MANY = 256
+MANY = 1024
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -182,7 +185,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, k: int = K, many: int = MANY
                 yield pa.RecordBatch.from_arrays([pa.array(kh.view(np.int64)), pa.array(fh.view(np.int64)), pa.array(own[t]), pa.array(place)], ["kh", "fh", "tid", "place"])
 
     found = scratch.written(docs.select("tid", "text").mapInArrow(find, "kh long, fh long, tid long, place long"), "anchors")
-    twice = found.groupBy("kh").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("kh").alias("k2"))
+    # Sums are written by themselves, so that joins with them are plain ones, which Spark splits where a key is hot.
+    twice = scratch.written(found.groupBy("kh").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("kh").alias("k2")), "repeated-keys")
     again = scratch.written(found.join(twice, F.col("kh") == F.col("k2")).drop("k2"), "repeated-anchors")
 
     contexts = scratch.written(again.groupBy("kh", "fh").agg(F.count("*").alias("n"), F.min(F.struct("tid", "place")).alias("rep")), "contexts")
@@ -234,24 +238,50 @@ def repeated(docs: DataFrame, length: int = LENGTH, k: int = K, many: int = MANY
             yield batch_of(out)
         yield batch_of(spans(group))
 
-    few = cuts.filter(F.col("m") <= many).repartition("kh").sortWithinPartitions("kh", "tid", "place").mapInArrow(compare, "tid long, a long, b long")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                data = np.frombuffer(r["context"], np.uint8)
-                at = np.arange(len(data) - length + 1)
-                h, g = (Rolling(data, b).of(at, at + length).view(np.int64) for b in BASES)
-                same = np.full(len(at), 1)
-                yield pa.RecordBatch.from_arrays([pa.array(same * r["kh"]), pa.array((r["place"] & 255) - at), pa.array(h), pa.array(g), pa.array(same * r["n"]), pa.array(same * r["tid"]), pa.array((r["place"] >> 16) + at)], ["kh", "o", "h", "g", "n", "tid", "a"])
-
-    each = cuts.filter(F.col("m") > many).mapInArrow(windows, "kh long, o long, h long, g long, n long, tid long, a long")
-    key = ["kh", "o", "h", "g"]
-    more = each.groupBy(*key).agg(F.sum("n").alias("total")).filter("total > 1").select(*[F.col(c).alias(f"{c}2") for c in key])
-    on = (F.col("kh") == F.col("kh2")) & (F.col("o") == F.col("o2")) & (F.col("h") == F.col("h2")) & (F.col("g") == F.col("g2"))
-    large = each.filter("n = 1").join(more, on).select("tid", "a", (F.col("a") + length).alias("b"))
-
-    spans = whole_context.unionByName(few).unionByName(large).groupBy("tid").agg(F.collect_list(F.struct("a", "b")).alias("spans")).withColumnRenamed("tid", "t2")
+    def compared(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("m") <= many).repartition("kh").sortWithinPartitions("kh", "tid", "place").mapInArrow(compare, "tid long, a long, b long")
+
+    def halves(level: int):
+        """Contexts cut to the windows in each half of their range of offsets; ranges have (w + 1) / 2**level offsets, about."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            edge = [-(-(w + 1) * j // (1 << level)) for j in range((1 << level) + 1)]
+            for batch in batches:
+                rows = []
+                for r in batch.to_pylist():
+                    p, width, context = r["place"] & 255, r["place"] >> 8 & 255, r["context"]
+                    for part in (2 * r["part"], 2 * r["part"] + 1):
+                        # Offsets of this part, and those of them that windows of this context have.
+                        low, high = edge[part], edge[part + 1] - 1
+                        a, b = max(low, p - width), min(high, p)
+                        if a > b:
+                            continue
+                        key = hashlib.blake2b(b"%d,%d," % (r["kh"], part) + context[p - low : p + length - high], digest_size=8).digest()
+                        own = context[p - b : p + length - a]
+                        shape = hashlib.blake2b(b"%d,%d," % (a, b) + own, digest_size=8).digest()
+                        rows.append((int.from_bytes(key, "big", signed=True), int.from_bytes(shape, "big", signed=True), r["n"], r["tid"], (r["place"] >> 16) + p - b << 16 | b - a << 8 | b, own, part))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(kinds)], ["kh", "fh", "n", "tid", "place", "context", "part"])
+
+        return run
+
+    covers = [whole_context, compared(cuts)]
+    large, level = cuts.filter(F.col("m") > many).withColumn("part", F.lit(0)), 0
+    while (1 << level) < 2 * (w + 1) and large.limit(1).count():
+        level += 1
+        child = large.select("kh", "m", "n", "tid", "place", "context", "part").mapInArrow(halves(level), "kh long, fh long, n long, tid long, place long, context binary, part int")
+        child = scratch.written(child, "halves")
+        kinds = child.groupBy("kh", "fh").agg(F.sum("n").alias("total"), F.min(F.struct("tid", "place", "context", "part")).alias("rep"))
+        kinds = scratch.written(kinds, "half-contexts")
+        equal = kinds.filter("total > 1").select(F.col("kh").alias("k2"), F.col("fh").alias("f2"))
+        covers.append(child.filter("n = 1").join(equal, (F.col("kh") == F.col("k2")) & (F.col("fh") == F.col("f2"))).select("tid", start.alias("a"), (start + width + length).alias("b")))
+        own = kinds.groupBy("kh").agg(F.count("*").alias("m"), F.min("total").alias("least")).filter("m > 1 and least = 1").select(F.col("kh").alias("k2"), "m")
+        rest = kinds.join(own, F.col("kh") == F.col("k2")).select("kh", "m", F.col("total").alias("n"), "rep.tid", "rep.place", "rep.context", "rep.part")
+        rest = scratch.written(rest, "half-groups")
+        covers.append(compared(rest))
+        large = rest.filter(F.col("m") > many)
+
+    spans = reduce(DataFrame.unionByName, covers).groupBy("tid").agg(F.collect_list(F.struct("a", "b")).alias("spans")).withColumnRenamed("tid", "t2")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
