@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import topics
-from tidewater.plans import log_queries
+from tidewater.plans import io_queries, log_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(log_queries.QUERIES)
-ORACLE: dict[str, str] = dict(log_queries.ORACLE)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = log_queries.QUERIES | io_queries.QUERIES
+ORACLE: dict[str, str] = log_queries.ORACLE | io_queries.ORACLE
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
