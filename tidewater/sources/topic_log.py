@@ -39,7 +39,8 @@ def place(store: LogStore, topic: str, where: Where, default: str, start: bool)
     """Where a bound is in a topic-partition: for a start the place before it, for an end the last entry to read."""
     kind, value = where.kind, where.value
     if kind in ("positions", "times"):
-        given = value.get(topic, value.get(log_store.base_name(topic)))
+        named = {log_store.full_name(t): x for t, x in value.items()}
+        given = named.get(topic, named.get(log_store.base_name(topic)))
         if given is None:
             kind = default
         elif kind == "times":
@@ -63,7 +64,7 @@ def place(store: LogStore, topic: str, where: Where, default: str, start: bool)
 def check_known(where: Where, topics: list[str]) -> None:
     if where.kind in ("positions", "times"):
         known = {*topics, *map(log_store.base_name, topics)}
-        if unknown := sorted(set(where.value) - known):
+        if unknown := sorted({log_store.full_name(t) for t in where.value} - known):
             raise ValueError(f"offsets or times are given for topics that aren't read: {', '.join(unknown)}")
 
 
@@ -71,8 +72,10 @@ def message_id(ledger: int, entry: int, part: int, index: int, size: int) -> byt
     return struct.pack(">5q", ledger, entry, part, index, size)
 
 
-def rows_of(store: LogStore, part: Range, schema: dict | None, kind: T.StructType) -> Iterator[pa.RecordBatch]:
-    """Batches of a range's messages, decoded."""
+def rows_of(store: LogStore, part: Range | None, schema: dict | None, kind: T.StructType) -> Iterator[pa.RecordBatch]:
+    """Batches of a range's messages, decoded; none without a range, which is what Spark passes if there are no partitions."""
+    if part is None:
+        return
     get, names = payloads.reader(schema), [n for n in kind.fieldNames() if n not in META_NAMES]
     arrow = to_arrow_schema(kind)
     _, _, number = part.topic.rpartition(log_store.PARTITION)
@@ -159,8 +162,11 @@ class StreamReader(DataSourceStreamReader):
         for t in topics:
             now = self.at.get(t, BEFORE_ALL)
             last = self.store.latest(t)
-            to = min(last, self.store.admitted(t, now, share)) if limit else last
-            new[t] = max(to, now)
+            if last < now:
+                # Another topic of that name: read on from its beginning.
+                loss.report(f"{t} ends at {last}, before {now}, which was read", self.options.fail_on_data_loss)
+                now = BEFORE_ALL
+            new[t] = min(last, self.store.admitted(t, now, share)) if limit else last
         # A topic-partition that is gone stays where it was, so that partitions() sees it end.
         self.at = {**self.at, **new}
         return {t: list(p) for t, p in self.at.items()}
