@@ -5,7 +5,8 @@ moves the boundaries next to it only.  Chunks of two lines or more are grouped b
 by doc_id and line, stays, and those whose bytes equal the first one's go.
 
 Digests alone are grouped, with partial sums; then the bytes of repeated chunks, and only those, meet their keeper's.
-Both joins are plain equi-joins on the digest, which Spark splits where one digest has very many rows.
+Both joins are plain equi-joins on the digest, which Spark splits where one digest has very many rows.  The first is asked
+to sort and merge at every size, as what repeats grows with the corpus.
 
 Defined results for odd input: a null text is empty; a text of one line has no chunk that could go; chunks without a
 word stay; a chunk whose digest is another's by chance stays, as its bytes differ; rows equal in doc_id and text are one
@@ -41,7 +42,8 @@ def chunks(docs: DataFrame, span: int = SPAN) -> DataFrame:
     df = df.withColumn("_c", F.transform("_e", lambda e, i: F.struct(first(i).alias("first_line"), (e - first(i) + 1).alias("n_lines"))))
     df = df.withColumn("_c", F.filter("_c", lambda c: c["n_lines"] >= 2))
     df = df.withColumn("_c", F.transform("_c", lambda c: F.struct(c["first_line"].alias("first_line"), c["n_lines"].alias("n_lines"), F.array_join(F.slice("_l", c["first_line"] + 1, c["n_lines"]), "\n").alias("chunk"))))
-    df = df.select("doc_id", F.explode("_c").alias("_c")).select("doc_id", F.col("_c.first_line").cast("long").alias("first_line"), F.col("_c.n_lines").cast("long").alias("n_lines"), F.col("_c.chunk").alias("chunk"))
+    # The outer form, as the plain one would have Spark test the array, computed anew, before the scan's output goes on.
+    df = df.select("doc_id", F.explode_outer("_c").alias("_c")).filter(F.col("_c").isNotNull()).select("doc_id", F.col("_c.first_line").cast("long").alias("first_line"), F.col("_c.n_lines").cast("long").alias("n_lines"), F.col("_c.chunk").alias("chunk"))
     return df.filter(F.col("chunk").rlike(WORD)).withColumn("digest", F.unhex(F.md5("chunk")))
 
 
@@ -50,7 +52,9 @@ def removals(docs: DataFrame, span: int = SPAN) -> DataFrame:
     each = chunks(docs, span)
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "first_line")
     twice = each.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("keeper")).filter("n > 1").select(F.col("digest").alias("d"), "keeper")
-    met = scratch.written(each.join(twice, F.col("digest") == F.col("d")).select("doc_id", "first_line", "n_lines", "chunk", "digest", "keeper"), "line-chunks")
+    # Written by itself, so that the join with it is a plain one, which Spark splits where a digest is hot.
+    twice = scratch.written(twice, "chunk-keepers")
+    met = scratch.written(each.join(twice.hint("merge"), F.col("digest") == F.col("d")).select("doc_id", "first_line", "n_lines", "chunk", "digest", "keeper"), "line-chunks")
     first = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("first_line") == F.col("keeper.first_line"))
     kept = met.filter(first).groupBy("digest").agg(F.min("chunk").alias("kept")).select(F.col("digest").alias("d"), "kept")
     out = met.filter(~first).join(kept, (F.col("digest") == F.col("d")) & (F.col("chunk") == F.col("kept")))

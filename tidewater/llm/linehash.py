@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm import scratch
 from tidewater.llm.text import WORD, only, whole
 
 MIN_WORDS = 20
@@ -55,6 +56,8 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     each = units(docs, min_words)
     kept = each.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "unit")).alias("keeper")).filter("n > 1")
     kept = kept.select(F.col("digest").alias("d"), F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.unit").alias("keeper_unit"))
+    # Written by itself, so that the join with it is a plain one, which Spark splits where a digest is hot.
+    kept = scratch.written(kept, "keepers")
     out = each.join(kept, F.col("digest") == F.col("d"))
     out = out.filter(~(F.col("doc_id").eqNullSafe(F.col("keeper_doc_id")) & (F.col("unit") == F.col("keeper_unit"))))
     return out.select("doc_id", "unit", "start", "end", "n_words", "keeper_doc_id", "keeper_unit")
