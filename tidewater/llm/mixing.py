@@ -52,8 +52,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def sampling_key(id_col: Column, weight: Column, seed: int) -> Column:
-    """-ln(u) / w, with u in (0, 1) from 53 bits of a hash."""
-    u = (F.shiftrightunsigned(F.xxhash64(id_col, F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
+    """-ln(u) / w, with u in (0, 1) from 52 bits of an MD5 digest."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("")), F.lit(str(seed))))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     return -F.log(u) / weight
 
 
@@ -119,3 +120,28 @@ def stage(docs: DataFrame, seed: int = 20240607) -> DataFrame:
     text = F.when(part >= F.col("size"), F.col("_carry")["text"]).otherwise(first_words(F.col("_carry")["text"], part))
     new = {"text": text, "n_chars": F.length(text).cast("long")}
     return df.select(*[new.get(c, F.col("_carry")[c]).alias(c) for c in names])
+
+
+ORACLE = f"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+weighed AS (
+  SELECT *, greatest(1e-6, greatest(0.05, (1 - 8 * (len(regexp_extract_all(t, '[#*$%&|<>]')) / greatest(length(t), 1))) * CASE WHEN regexp_matches(t, '[.!?]["\'\'”’»)]*\\s*$') THEN 1.0 ELSE 0.5 END)) AS w FROM docs),
+keyed AS (
+  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':20240607'), 1, 13) AS BIGINT) + 0.5) / {1 << 52}) / w AS key FROM weighed),
+sources AS (
+  SELECT source, sum(size) AS source_size, ([{", ".join(map(str, WEIGHTS))}])[1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} AS INT)] AS sw FROM docs GROUP BY source),
+caps AS (SELECT *, {MOST}.0 * source_size AS cap, {SHARE} * sum(source_size) OVER () AS total FROM sources),
+walk AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / sw, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(sw) OVER (ORDER BY cap / sw, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM caps),
+level AS (SELECT arg_min(lev, cap / sw) FILTER (WHERE lev <= cap / sw) AS lev FROM walk),
+targets AS (SELECT source, source_size, CAST(CASE WHEN level.lev IS NULL THEN cap ELSE least(cap, level.lev * sw) END AS DOUBLE) AS target FROM caps, level),
+placed AS (
+  SELECT keyed.*, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before FROM keyed),
+budget AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(round(target) / source_size) ELSE 0 END AS epochs FROM targets)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(epochs * size + greatest(0, least(size, round(target) - epochs * source_size - before)) AS BIGINT) AS taken
+FROM placed JOIN budget ON placed.source IS NOT DISTINCT FROM budget.source
+"""

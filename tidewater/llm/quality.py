@@ -110,3 +110,35 @@ def stage(docs: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     # again.  What an array holds isn't moved.
     df = df.select(F.explode_outer(F.when(F.col("kept"), F.array(row))).alias("_out")).filter(F.col("_out").isNotNull())
     return df.select(*[F.col("_out")[c].alias(c) for c in names])
+
+
+ORACLE = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs),
+windows AS (
+  SELECT doc_id, i, {" || ' ' || ".join(f"lead(w, {k}) OVER d" for k in range(WINDOW))} AS win FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows WHERE win IS NOT NULL) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range({WINDOW}) AS r(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM docs),
+ruled AS (
+  SELECT doc_id, l, length(l) - length(replace(l, ' ', '')) + 1 AS n,
+    length(regexp_replace(l, '{GAP}', '', 'g')) AS chars FROM lines WHERE regexp_matches(l, '{WORD}')),
+judged AS (
+  SELECT *, NOT regexp_matches(l, '{SENTENCE.replace("'", "''")}')
+    OR len(regexp_extract_all(l, '[#*$%&|<>]')) * 2 > n
+    OR (n >= 4 AND (length(l) - length(replace(l, '!', ''))) * 2 > n)
+    OR (length(l) - length(replace(l, '|', '')) + length(l) - length(replace(l, '»', ''))) * 3 >= n + 1
+    OR (length(l) >= 20 AND upper(l) = l AND lower(l) <> l)
+    OR (n <= 12 AND regexp_matches(l, '{BOILERPLATE}')) AS fails
+  FROM ruled),
+summed AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines, coalesce(sum(chars) FILTER (WHERE NOT fails), 0) AS n_clean_chars FROM judged GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(n_clean_chars, 0) AS n_clean_chars
+  FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN summed USING (doc_id)),
+verdict AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND n_clean_chars >= {MIN_KEPT_SHARE} * word_chars AS kept, CAST(n_clean_chars AS BIGINT) AS n_clean_chars
+FROM verdict
+"""

@@ -53,6 +53,9 @@ def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_chars")
 
 
+ORACLE["op4_quality_lines"] = quality.ORACLE
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, or an edited copy of one, with the item and the score."""
@@ -76,6 +79,9 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.text_weight(docs["text"])).select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLE["op7_mix_sources"] = mixing.ORACLE
+
+
 @query
 def op8_suffix_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What removing every repeated 200-byte string leaves of each document."""
