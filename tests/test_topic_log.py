@@ -3,14 +3,20 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.operators import loss, topics
 from tidewater.sources.log_store import LogStore
+from tidewater.sources.parquet_log import log_frame, values
 from tidewater.sources.topic_log import TopicLog
 from tidewater.streaming import queries as sq
 
 
-@pytest.fixture
-def url(spark, tmp_path):
+@pytest.fixture(scope="module", autouse=True)
+def registered(spark):
     spark.dataSource.register(TopicLog)
+
+
+@pytest.fixture
+def url(tmp_path):
     return str(tmp_path / "log")
 
 
@@ -172,3 +178,25 @@ def test_stream_window_and_update_counts(spark, url, tmp_path):
         sq.until_done(x)
     assert sum(r.n for r in spark.table("windows").collect()) == 6
     assert {(r.value, r["count"]) for r in spark.table("counts").collect()} == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_native_scan(spark, url):
+    put(spark, url, [5, -7, 2**31 - 1], topic="t-partition-0")
+    put(spark, url, [9], topic="u")
+    log = log_frame(spark, url)
+    got = values(topics.select_topics(log, topic="t"), {"type": "INT32"})
+    assert sorted(r.value for r in got.collect()) == [-7, 5, 2**31 - 1]
+    one = log.filter("__topic = 'topic://main/default/u'").select("__key")
+    assert "PartitionFilters: [isnotnull(__topic" in one._jdf.queryExecution().toString()
+    assert loss.gaps(log).count() == 0
+    same = {bytes(r["__messageId"]) for r in spark.read.format("tidewater").options(**{"service.url": url, "topics": "t,u"}).load().collect()}
+    assert same == {bytes(r["__messageId"]) for r in log.collect()}
+
+
+@pytest.mark.parametrize("kind,sql", [("BOOLEAN", "id % 2 = 0"), ("INT8", "cast(id - 3 as tinyint)"), ("INT16", "cast(id * -300 as smallint)"), ("INT64", "id * -1000000007"), ("STRING", "concat('é', id)"), ("DATE", "date_add(date'1969-12-30', cast(id as int))"), ("TIMESTAMP", "timestamp_millis(id * 1000 - 2500)")])
+def test_primitives_both_ways(spark, url, kind, sql):
+    df = spark.range(6).selectExpr(f"{sql} as value")
+    df.write.format("tidewater").options(**{"service.url": url, "topic": "t"}).mode("append").save()
+    want = sorted(str(r.value) for r in df.collect())
+    assert sorted(str(r.value) for r in get(spark, url).collect()) == want
+    assert sorted(str(r.value) for r in values(log_frame(spark, url), LogStore(url).schema("topic://main/default/t")).select("value").collect()) == want

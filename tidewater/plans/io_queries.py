@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tidewater.functions import avro, schemas
 from tidewater.functions.envelope import PARTITION
+from tidewater.operators import topics
+from tidewater.sources.parquet_log import log_frame
 from tidewater.sources.places import shared_folder
 from tidewater.sources.topic_log import TopicLog
 from tidewater.streaming.queries import stream, until_done
@@ -110,3 +112,15 @@ def avro_roundtrip(spark, sf_dir):
 
     out = df.mapInArrow(encode, "payload binary").mapInArrow(decode, kind)
     return out.select("event_id", "user_id", "value", "props", F.unix_micros("ts").alias("ts_us"), "maybe")
+
+
+@query(
+    "SELECT 'topic://main/default/' || event_type || '-partition-' || (user_id % 4) AS topic, count(*) AS n, count(DISTINCT user_id) AS keys, max(epoch_us(ts)) AS last_us "
+    "FROM events WHERE event_type IN ('view', 'click') GROUP BY 1"
+)
+def stored_log_scan(spark, sf_dir):
+    """A stored log scanned by Spark's own reader, folders of other topics pruned."""
+    url = shared_folder(spark, "topic-log")
+    written(spark, outgoing(spark, sf_dir), url)
+    df = topics.select_topics(log_frame(spark, url), pattern="(?:view|click)")
+    return df.groupBy(F.col("__topic").alias("topic")).agg(F.count("*").alias("n"), F.count_distinct("__key").alias("keys"), F.max(F.unix_micros("__eventTime")).alias("last_us"))
