@@ -98,6 +98,7 @@ def hits(docs: DataFrame, known: np.ndarray, n: int, reach: int, bits: int) -> D
                     lists.append([{"g": g, "place": p - first} for g, p in zip(h[found[a:b]].view(np.int64).tolist(), place[a:b].tolist(), strict=True)])
                 kind = pa.list_(pa.struct([("g", pa.int64()), ("place", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(texts, pa.string()), pa.array(lists, kind)], ["doc_id", "words", "hits"])
+        shingles.forget()
 
     return docs.mapInArrow(run, "doc_id long, words string, hits array<struct<g:long,place:long>>")
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from xxhash import xxh3_64_intdigest
 
-WORDS_KNOWN = 500_000
+WORDS_KNOWN = 150_000
 _known: dict[str, int] = {}
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -50,3 +51,9 @@ def of_texts(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
     n = np.array([len(w) for w in split], np.int64)
     h = word_hashes([w for ws in split for w in ws])
     return of_words(h, np.cumsum(n) - n, n, k)
+
+
+def forget() -> None:
+    """Frees what is known of words; a worker may go on to other tasks, of any kind."""
+    _known.clear()
+    pa.default_memory_pool().release_unused()

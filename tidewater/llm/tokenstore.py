@@ -23,6 +23,7 @@ columns aren't read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,7 +32,6 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,20 +44,20 @@ END_ID = 2
 SPAN = 8
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 8192, 10
 DIGEST = 16
-CACHED = 1_000_000
-ROWS = 3000
-MARKS = frozenset(".,;:!?")
-#: White space other than single spaces and line feeds.
-SPACES = ["  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
+CACHED, CACHED_CHARS = 300_000, 64
+ROWS = 256
+#: The pattern of byte-level BPE, and an equal one over the first 256 characters.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+NARROW = re.compile(f" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
 class Encoder:
-    """Byte-level BPE of the tokenizers library, with a memory for the parts of texts that can't affect each other.
+    """Byte-level BPE of the tokenizers library, with a memory for the pieces that its own pattern splits texts into.
 
-    BPE never merges across the pieces that the tokenizer's own pattern splits texts into, so the ids of a text are those
-    of its pieces.  And where single spaces and line feeds are a text's only white space, pieces begin at each of them,
-    so that the parts between can be looked up before any pattern is matched.  Texts that hold a special token's string
-    go to the library whole.
+    BPE never merges across pieces, so the ids of a text are those of its pieces.  Texts of the first 256 characters, on
+    whose kinds all Unicode tables agree, are split by an equal pattern of Python's own.  Texts that hold a special
+    token's string go to the library whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -65,7 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.split = regex.compile(pattern).findall
+        self.any, self.narrow = regex.compile(pattern).findall, NARROW.findall if pattern == BYTE_LEVEL else None
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.kind, self.kind_code = ("<u2", "H") if self.lib.get_vocab_size() < 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
@@ -73,64 +73,26 @@ class Encoder:
     def library(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind_code, e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: set[str]) -> None:
+    def split(self, text: str) -> list[str]:
+        return self.narrow(text) if self.narrow is not None and narrow(text) else self.any(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes of self.kind."""
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        lists = [self.split(t) for t in texts]
+        pieces = set().union(*lists)
         new = list(pieces.difference(self.known))
         if len(self.known) + len(new) > CACHED:
             self.known.clear()
             new = list(pieces)
+        del pieces
         self.known.update(zip(new, self.library(new), strict=True))
-
-    def by_piece(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, from those of its pieces."""
-        lists = [self.split(t) for t in texts]
-        self.learn(set().union(*lists))
-        return [b"".join(map(self.known.__getitem__, x)) for x in lists]
-
-    def by_part(self, texts: list[str]) -> list[bytes]:
-        """The ids of plain texts, each distinct part of all of them encoded once.
-
-        A part stands after a space, unless it begins with a line feed or its text.  Letters are one piece, and so is a
-        single mark after them.
-        """
-        parts = pc.split_pattern(pc.replace_substring(pa.array([f"\n{t}" for t in texts], pa.large_string()), "\n", " \n"), " ")
-        each = parts.values.dictionary_encode()
-        one, two, more = [], [], []
-        for i, p in enumerate(each.dictionary.to_pylist()):
-            if p.isalpha():
-                one.append((i, " " + p))
-            elif p[-1:] in MARKS and p[:-1].isalpha():
-                two.append((i, " " + p[:-1], p[-1]))
-            else:
-                more.append((i, self.split(p if p[:1] == "\n" else " " + p)))
-        self.learn({p for _, p in one}.union((p for _, p, _ in two), (m for _, _, m in two), *[x for _, x in more]))
-        ids, known = [b""] * len(each.dictionary), self.known
-        for i, p in one:
-            ids[i] = known[p]
-        for i, p, m in two:
-            ids[i] = known[p] + known[m]
-        for i, x in more:
-            ids[i] = b"".join(map(known.__getitem__, x))
-        at, offsets, feed = each.indices.to_pylist(), parts.offsets.to_pylist(), len(known["\n"]) if "\n" in known else 0
-        # The line feed put before each text, and the empty part before it, aren't the text's.
-        return [b"".join(map(ids.__getitem__, at[a + 1 : b]))[feed:] for a, b in zip(offsets, offsets[1:], strict=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        plain, other, whole = [], [], []
-        for i, t in enumerate(texts):
-            if any(s in t for s in self.special):
-                whole.append(i)
-            elif t[:1] in {"", " ", "\n"} or t[-1] in " \n" or any(s in t for s in SPACES) or not narrow(t):
-                other.append(i)
-            else:
-                plain.append(i)
-        if plain:
-            for i, r in zip(plain, self.by_part([texts[i] for i in plain]), strict=True):
-                out[i] = r
-        for own, how in ((other, self.by_piece), (whole, self.library)):
-            if own:
-                for i, r in zip(own, how([texts[i] for i in own]), strict=True):
-                    out[i] = r
+        out = [b"".join(map(self.known.__getitem__, x)) for x in lists]
+        for k in new:
+            if len(k) > CACHED_CHARS:
+                del self.known[k]
+        for i, ids in zip(whole, self.library([texts[i] for i in whole]), strict=True):
+            out[i] = ids
         return out
 
 
@@ -215,6 +177,9 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
                     [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
                     ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
                 )
+        # A worker may go on to other tasks, of any kind.
+        enc.known.clear()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, STAGED)
 
@@ -275,7 +240,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
     spark = docs.sparkSession
     kind = Encoder(tokenizer, pattern).kind
     at = scratch.folder(spark, "ids")
-    staged(only(docs, "doc_id", "text"), tokenizer, pattern, end_id).withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "none").parquet(at)
+    with scratch.small_batches(spark):
+        staged(only(docs, "doc_id", "text"), tokenizer, pattern, end_id).withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "none").parquet(at)
     rows = spark.read.parquet(at)
     uses = rows.select("doc_id", "root", "uid", F.posexplode("digests").alias("i", "digest"))
     holder = uses.groupBy("digest").agg(F.min(F.struct("doc_id", "root", "uid", "i")).alias("h"), F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("d"), "h")
@@ -284,13 +250,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
     told = told.groupBy("doc_id", "root", "uid").agg(F.collect_list(F.when(~mine, F.col("i"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("i"))).alias("lent"))
     both = rows.unionByName(told, allowMissingColumns=True)
     dealt = both.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root", "uid", F.col("payload").isNotNull())
-    shards(dealt, kind).write.partitionBy("kind").option("compression", "none").parquet(path)
+    with scratch.small_batches(spark):
+        shards(dealt, kind).write.partitionBy("kind").option("compression", "none").parquet(path)
     scratch.drop(spark, at)
 
 
 def read(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """doc_id, start, n_tokens, ``payload`` (all ids) and ``pieces``, decoded from the files and checked against the roots."""
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(STORED).parquet(path)
     sums = rows.filter("kind = 'shard'").select(F.col("shard").alias("s"), (F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")).alias("base"))
     # One row a shard: as many as there were write tasks.
     docs = rows.filter("kind = 'doc'").join(F.broadcast(sums), F.col("shard") == F.col("s")).withColumn("start", F.col("base") + F.col("local_start"))
@@ -354,7 +321,7 @@ def digests(spark: SparkSession, path: str, kind: str) -> DataFrame:
                 n.append(len(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read(spark, path, kind).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return scratch.written(read(spark, path, kind).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"), "id-digests")
 
 
 def id_kind(tokenizer: str, pattern: str) -> str:
