@@ -96,7 +96,18 @@ def cleaned(df: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """One row per document: id, the counts, base_failed, kept, n_clean_chars and the cleaned text ``clean``."""
-    return cleaned(measured(docs, id_col, text_col), min_kept_share).drop("body")
+    return fixed(cleaned(measured(docs, id_col, text_col), min_kept_share).drop("body"), F.lit(True))
+
+
+def fixed(df: DataFrame, kept: Column) -> DataFrame:
+    """Rows of ``df`` that are ``kept``, as columns that stand for themselves.
+
+    A filter on a computed column would be moved down to the scan with all that the column stands for, nested and so
+    computed again and again.  What an array holds isn't moved.
+    """
+    row = F.struct(*[df[c] for c in df.columns])
+    out = df.select(F.explode_outer(F.when(kept, F.array(row))).alias("_out")).filter(F.col("_out").isNotNull())
+    return out.select(*[F.col("_out")[c].alias(c) for c in df.columns])
 
 
 def stage(docs: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
@@ -105,11 +116,8 @@ def stage(docs: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     df = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), whole(docs["text"]).alias("body"))
     df = cleaned(measure(df), min_kept_share)
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
-    row = F.struct(*[new.get(c, F.col("_row")[c]).alias(c) for c in names])
-    # A filter on ``kept`` would be moved down to the scan with all that it stands for, nested and so computed again and
-    # again.  What an array holds isn't moved.
-    df = df.select(F.explode_outer(F.when(F.col("kept"), F.array(row))).alias("_out")).filter(F.col("_out").isNotNull())
-    return df.select(*[F.col("_out")[c].alias(c) for c in names])
+    df = df.select("kept", *[new.get(c, F.col("_row")[c]).alias(f"_{i}") for i, c in enumerate(names)])
+    return fixed(df, F.col("kept")).drop("kept").toDF(*names)
 
 
 ORACLE = f"""
