@@ -105,22 +105,22 @@ def latest_offsets(spark, sf_dir):
     return offsets.latest(log(spark, sf_dir)).withColumnRenamed("__topic", "topic")
 
 
-@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq >= 48")
+@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq >= 8")
 def range_specific_inclusive(spark, sf_dir):
     df = log(spark, sf_dir)
-    return ids(offsets.read(df, start=offsets.at_or_after(df, starts_at(df, 50))))
+    return ids(offsets.read(df, start=offsets.at_or_after(df, starts_at(df, 10))))
 
 
-@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq > 50")
+@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq > 10")
 def range_resume_exclusive(spark, sf_dir):
     df = log(spark, sf_dir)
-    return ids(offsets.read(df, start=starts_at(df, 50), inclusive=False))
+    return ids(offsets.read(df, start=starts_at(df, 10), inclusive=False))
 
 
-@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq <= 51")
+@query("SELECT topic, event_id, ledger, entry, batch_index FROM log WHERE seq <= 11")
 def range_end_of_batch(spark, sf_dir):
     df = log(spark, sf_dir)
-    return ids(offsets.read(df, end=starts_at(df, 49)))
+    return ids(offsets.read(df, end=starts_at(df, 9)))
 
 
 _AT = "first_at AS (SELECT topic, coalesce(min(seq) FILTER (WHERE publish_us >= {t}), max(seq)) AS s FROM log GROUP BY topic)"
@@ -153,18 +153,18 @@ def ending_time(spark, sf_dir):
     return ids(offsets.read(df, end=offsets.at_time(df, times(df, F.lit(T1)))))
 
 
-@query("SELECT topic, min(ledger) FILTER (WHERE seq = p) AS ledger, min(entry) FILTER (WHERE seq = p) AS entry, min(batch_index) FILTER (WHERE seq = p) AS batch_index FROM (SELECT *, CASE WHEN event_type = 'click' THEN 60 ELSE 0 END AS p FROM log) GROUP BY topic")
+@query("SELECT topic, min(ledger) FILTER (WHERE seq = p) AS ledger, min(entry) FILTER (WHERE seq = p) AS entry, min(batch_index) FILTER (WHERE seq = p) AS batch_index FROM (SELECT *, CASE WHEN event_type = 'click' THEN 8 ELSE 0 END AS p FROM log) GROUP BY topic")
 def offset_defaults_merge(spark, sf_dir):
     df = log(spark, sf_dir)
-    given = starts_at(df.filter(F.col("event_type") == "click"), 60)
+    given = starts_at(df.filter(F.col("event_type") == "click"), 8)
     return offsets.with_default(given, offsets.earliest(df)).withColumnRenamed("__topic", "topic")
 
 
 @query("SELECT topic, CASE WHEN event_type = 'view' THEN 'no start' WHEN event_type = 'click' THEN 'no end' WHEN event_type = 'error' THEN 'end before start' ELSE 'ok' END AS validity FROM (SELECT DISTINCT topic, event_type FROM log)")
 def range_validity(spark, sf_dir):
     df = log(spark, sf_dir)
-    start = starts_at(df.filter("event_type <> 'view' and event_type <> 'error'"), 20).unionByName(starts_at(df.filter("event_type = 'error'"), 40))
-    end = starts_at(df.filter("event_type <> 'click'"), 30)
+    start = starts_at(df.filter("event_type <> 'view' and event_type <> 'error'"), 5).unionByName(starts_at(df.filter("event_type = 'error'"), 15))
+    end = starts_at(df.filter("event_type <> 'click'"), 10)
     return offsets.ranges(start, end).select(F.col("__topic").alias("topic"), "validity")
 
 
