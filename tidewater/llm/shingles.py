@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from xxhash import xxh3_64_intdigest
 
+from tidewater.llm import caches
+
 WORDS_KNOWN = 150_000
 _known: dict[str, int] = {}
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -19,6 +21,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
+    caches.take("words", _known.clear)
     if len(_known) > WORDS_KNOWN:
         _known.clear()
     new = set(words).difference(_known)

@@ -23,6 +23,7 @@ columns aren't read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -37,14 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm import scratch
+from tidewater.llm import caches, scratch
 from tidewater.llm.text import only
 
 END_ID = 2
 SPAN = 8
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 8192, 10
 DIGEST = 16
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 600_000, 64
 ROWS = 256
 #: The pattern of byte-level BPE, and an equal one over the first 256 characters.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,6 +62,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, pattern: str):
+        # Spark's tasks are the parallelism; threads of the library's own would wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
@@ -155,6 +158,7 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pack = encoder(tokenizer, pattern), zstandard.ZstdCompressor(1)
+        caches.take("pieces", enc.known.clear)
         width, end = np.dtype(enc.kind).itemsize, np.array([end_id], enc.kind).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -177,9 +181,6 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
                     [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
                     ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
                 )
-        # A worker may go on to other tasks, of any kind.
-        enc.known.clear()
-        pa.default_memory_pool().release_unused()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, STAGED)
 
