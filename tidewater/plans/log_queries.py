@@ -202,7 +202,7 @@ rest AS (SELECT led.*, share, greatest(1, bytes // entries) AS avg, CASE WHEN le
   CASE WHEN ledger = 0 THEN greatest(1, bytes // entries) * (entries - 3) ELSE bytes END AS lb FROM led, shares),
 walk AS (SELECT *, share - coalesce(sum(lb) OVER (PARTITION BY topic ORDER BY ledger ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS budget FROM rest WHERE le > 0),
 taken AS (SELECT *, CASE WHEN ledger = 0 THEN 3 ELSE 0 END + CASE WHEN budget > lb THEN le ELSE least(le, greatest(1, budget // avg)) END - 1 AS last FROM walk WHERE budget > 0)
-SELECT topic, max(ledger) AS ledger, arg_max(last, ledger) AS entry FROM taken GROUP BY topic"""
+SELECT topic, max(ledger) AS ledger, CAST(arg_max(last, ledger) AS BIGINT) AS entry FROM taken GROUP BY topic"""
 )
 def admission_plan(spark, sf_dir):
     df = log(spark, sf_dir)
@@ -210,7 +210,7 @@ def admission_plan(spark, sf_dir):
     return out.select(F.col("__topic").alias("topic"), F.col("ledger").cast("long").alias("ledger"), F.col("entry").cast("long").alias("entry"))
 
 
-@query("SELECT topic, count(*) AS num_input_rows, sum(n_bytes) AS num_input_bytes FROM log GROUP BY topic")
+@query("SELECT topic, count(*) AS num_input_rows, CAST(sum(n_bytes) AS BIGINT) AS num_input_bytes FROM log GROUP BY topic")
 def source_metrics(spark, sf_dir):
     return log(spark, sf_dir).groupBy(F.col("__topic").alias("topic")).agg(F.count("*").alias("num_input_rows"), F.sum("n_bytes").alias("num_input_bytes"))
 
