@@ -23,6 +23,7 @@ columns aren't read.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -45,8 +46,8 @@ END_ID = 2
 SPAN = 8
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 8192, 10
 DIGEST = 16
-CACHED, CACHED_CHARS = 600_000, 64
-ROWS = 256
+CACHED, CACHED_CHARS = 1_000_000, 64
+ROWS = 64
 #: The pattern of byte-level BPE, and an equal one over the first 256 characters.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
@@ -159,6 +160,7 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pack = encoder(tokenizer, pattern), zstandard.ZstdCompressor(1)
         caches.take("pieces", enc.known.clear)
+        gc.disable()  # lists of pieces make no cycles, but would have the collector look for them
         width, end = np.dtype(enc.kind).itemsize, np.array([end_id], enc.kind).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -181,6 +183,7 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
                     [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
                     ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
                 )
+        gc.enable()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, STAGED)
 
