@@ -31,6 +31,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -67,15 +68,21 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.lib = Tokenizer.from_file(path)
+        # The same model for what is split already.
+        self.model = self.lib
+        if pattern == BYTE_LEVEL and self.lib.normalizer is None:
+            self.model = Tokenizer(self.lib.model)
+            self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.any, self.narrow = regex.compile(pattern).findall, NARROW.findall if pattern == BYTE_LEVEL else None
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.kind, self.kind_code = ("<u2", "H") if self.lib.get_vocab_size() < 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
 
-    def library(self, texts: list[str]) -> list[bytes]:
-        return [array(self.kind_code, e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(self, texts: list[str], tokenizer) -> list[bytes]:
+        return [array(self.kind_code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def split(self, text: str) -> list[str]:
         return self.narrow(text) if self.narrow is not None and narrow(text) else self.any(text)
@@ -90,12 +97,12 @@ class Encoder:
             self.known.clear()
             new = list(pieces)
         del pieces
-        self.known.update(zip(new, self.library(new), strict=True))
-        out = [b"".join(map(self.known.__getitem__, x)) for x in lists]
+        self.known.update(zip(new, self.ids(new, self.model), strict=True))
+        out = [b"".join(itemgetter(*x)(self.known)) if len(x) > 1 else b"".join(map(self.known.__getitem__, x)) for x in lists]
         for k in new:
             if len(k) > CACHED_CHARS:
                 del self.known[k]
-        for i, ids in zip(whole, self.library([texts[i] for i in whole]), strict=True):
+        for i, ids in zip(whole, self.ids([texts[i] for i in whole], self.lib), strict=True):
             out[i] = ids
         return out
 
@@ -116,13 +123,13 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def cuts(ids: np.ndarray) -> np.ndarray:
     """Positions after which the rolling hash of the last SPAN ids allows a cut."""
-    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x85EBCA77)
     h = x.copy()
     for j in range(1, SPAN):
-        h[j:] += x[:-j] << np.uint64(j)
-    return np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + 1
+        h[j:] += x[:-j] << np.uint32(j)
+    return np.flatnonzero((h >> np.uint32(32 - CUT_BITS)) == 0) + 1
 
 
 def chunks_of(length: int, allowed: np.ndarray) -> list[int]:
@@ -195,7 +202,7 @@ def shards(rows: DataFrame, kind: str) -> DataFrame:
     """From rows of documents, each after the row of its borrowed and shared chunks, to the rows of the store."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack, width = zstandard.ZstdCompressor(3), zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
+        pack, unpack, width = zstandard.ZstdCompressor(1), zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
         shard, start, roots, pending = TaskContext.get().partitionId(), 0, [], None
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
