@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -332,6 +333,22 @@ def test_near_equals_brute_force_on_a_table(spark, sf_dir):
     assert Counter((r.doc_id, r.class_id) for r in near.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()) == classes(rows)
 
 
+def test_near_finds_pairs_within_a_template_family(spark):
+    """All texts are just under 0.8 to each other by their template, and some pairs are over it."""
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n)]
+    template, rows = words(254), []
+    for i in range(0, 240, 2):
+        first, second = words(32), words(32)
+        if i % 6 == 0:
+            second[:6] = first[:6]
+        rows += [(i, " ".join(template + first)), (i + 1, " ".join(template + second))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = classes(rows)
+    assert len(set(c for _, c in want)) == 200
+    assert Counter((r.doc_id, r.class_id) for r in near.near_duplicates(docs).collect()) == want
+
+
 def test_consistent_samples_agree_as_often_as_weights_do():
     rng = np.random.default_rng(3)
     s = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))

@@ -9,9 +9,11 @@ Sampling.  For every sample d, a shingle draws r, c ~ Gamma(2, 1) and b ~ U(0, 1
 ln y = r (t - b), the least ln a = ln c - ln y - r is the text's sample.  The draws come from a fixed pool of ``POOL``
 triples at the index hash(shingle, d), so a sample is a table look-up; equal pool indexes are told apart by shingle.
 
-Candidates.  Samples are banded; texts that share a band are a bucket.  A bucket compares its members with two of them,
-the one that shares most bands with others and the one of least key, never all with all, so work is linear in the
-bucket, however large.  Each text has ``BANDS`` buckets, so near copies meet many times, by different leaders.
+Candidates.  Samples are banded; texts that share a band are a bucket.  A bucket first compares its members with two of
+them, the one that shares most bands with others and the one of least key, so that large groups of copies become one
+component by work that is linear in the bucket.  Buckets that then still hold several components are finished exactly:
+their texts are joined on prefixes of shingles, rarest first (:func:`unmet`), which loses no pair of ``SIMILARITY``, and
+pairs within a component, which could change nothing, aren't made.
 
 Verification.  A pair is linked if its weighted Jaccard similarity, from the whole multisets of shingles, is at least
 ``SIMILARITY``, with the TF-IDF weights or with counts alone: thousands of copies make their own shingles common, and
@@ -31,7 +33,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch, shingles
@@ -156,6 +159,64 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return max(float((np.minimum(x, y) * w).sum() / (np.maximum(x, y) * w).sum()) for w in (np.ones(len(every)), idf))
 
 
+def unmet(sets: DataFrame, shared: DataFrame, classes: DataFrame, common: Broadcast, similarity: float) -> DataFrame:
+    """Pairs a, b of texts that may be similar and that leaders left in different components, from buckets of several.
+
+    Shingles are ordered from rare to frequent.  Similar texts have in common at least similarity / (1 + similarity) of
+    their summed weights; so the first shingle that they share leaves each at least that from it on (``rest``).  The lighter
+    text is found by a shorter prefix than the heavier one, so that a template in just under SIMILARITY of both is in
+    neither's short one.  This holds by TF-IDF and by counts, as the order is one.
+    """
+    share, slack = similarity / (1 + similarity), 1 - 1e-9
+    of = shared.filter("n > 2").select("node", "band", "h").join(classes.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
+    of = scratch.written(of.select("node", "band", "h", F.coalesce("component", "node").alias("component")), "labelled")
+    several = of.groupBy("band", "h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select(F.col("band").alias("b2"), F.col("h").alias("h2"))
+    several = scratch.written(several, "several")
+    left = scratch.written(of.join(several, (F.col("band") == F.col("b2")) & (F.col("h") == F.col("h2"))).select("node", "component").distinct(), "left")
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            for node, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s, n = multiset(x)
+                w = n * 2.0 ** (levels(np.ones(len(s)), s, common.value) / LEVELS)
+                columns = [s.view(np.int64), n, w, np.full(len(s), n.sum()), np.full(len(s), w.sum())]
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(node, pa.binary()), len(s)), *map(pa.array, columns)], ["node", "s", "n", "w", "all_n", "all_w"])
+
+    own = sets.join(left.select(F.col("node").alias("m")), F.col("node") == F.col("m")).select("node", "shingles")
+    own = scratch.written(own.mapInArrow(exploded, "node binary, s long, n double, w double, all_n double, all_w double"), "left-shingles")
+    df = scratch.written(own.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1").withColumnRenamed("s", "s2"), "left-df")
+    # Shingles of one text only come first in the order, and none shares them.  A window is a text.
+    after = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = own.join(df, F.col("s") == F.col("s2")).select("node", "s", "all_n", "all_w", F.sum("n").over(after).alias("rest_n"), F.sum("w").over(after).alias("rest_w"))
+
+    def within(least: float) -> Column:
+        return (F.col("rest_n") >= slack * least * F.col("all_n")) | (F.col("rest_w") >= slack * least * F.col("all_w"))
+
+    prefix = ranked.filter(within(similarity)).withColumn("light", within(2 * share))
+    prefix = scratch.written(prefix.join(left.withColumnRenamed("node", "m"), F.col("node") == F.col("m")).drop("m"), "prefixes")
+
+    def side(x: str, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "s", "component", "all_n", "all_w", "rest_n", "rest_w")])
+
+    def enough(k: str) -> Column:
+        return F.least(f"rest_{k}_a", f"rest_{k}_b") >= slack * share * (F.col(f"all_{k}_a") + F.col(f"all_{k}_b"))
+
+    light, every = side("a", prefix.filter("light")), side("b", prefix)
+    # Components meet at a shingle first, so that the many texts of one never meet each other.
+    most = {x: rows.groupBy(f"s_{x}", f"component_{x}").agg(*[f(f"{c}_{x}").alias(f"{c}_{x}") for c, f in (("all_n", F.min), ("all_w", F.min), ("rest_n", F.max), ("rest_w", F.max))]) for x, rows in (("a", light), ("b", every))}
+    meet = most["a"].join(most["b"], (F.col("s_a") == F.col("s_b")) & (F.col("component_a") != F.col("component_b")) & (enough("n") | enough("w")))
+    meet = scratch.written(meet.select(F.col("s_a").alias("s"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb")), "meetings")
+    both = meet.join(light, (F.col("s") == F.col("s_a")) & (F.col("ca") == F.col("component_a")))
+    good = [enough(k) & (F.col(f"all_{k}_a") <= F.col(f"all_{k}_b")) for k in "nw"]
+    both = both.join(every, (F.col("s") == F.col("s_b")) & (F.col("cb") == F.col("component_b")) & (good[0] | good[1]))
+    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def multiset(x: bytes) -> tuple[np.ndarray, np.ndarray]:
+    k = len(x) // 12
+    return np.frombuffer(x[: 8 * k], np.uint64), np.frombuffer(x[8 * k :], np.uint32).astype(float)
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the least doc_id of its near copies; its own if it has none), _uid and first (stays, if one has to)."""
     spark = docs.sparkSession
@@ -202,19 +263,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     if signed.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     left, right = sets.select(F.col("node").alias("na"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("nb"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb")).select("a", "b", "sa", "sb")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def multiset(x: bytes) -> tuple[np.ndarray, np.ndarray]:
-            k = len(x) // 12
-            return np.frombuffer(x[: 8 * k], np.uint64), np.frombuffer(x[8 * k :], np.uint32).astype(float)
-
         for batch in batches:
             good = [similar(multiset(x), multiset(y), common.value) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    links = scratch.written(both.mapInArrow(verify, "a binary, b binary"), "links")
+    def linked(some: DataFrame) -> DataFrame:
+        both = some.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb")).select("a", "b", "sa", "sb")
+        return scratch.written(both.mapInArrow(verify, "a binary, b binary"), "links")
+
+    links = linked(pairs)
     classes = components(links)
+    more = linked(scratch.written(unmet(sets, shared, classes, common, similarity).join(pairs, ["a", "b"], "left_anti"), "unmet"))
+    if more.limit(1).count():
+        classes = components(links.union(more))
     named = nodes.select("node", "least").join(classes.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
     named = named.select("node", "least", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min("least").alias("class_id"), F.min(F.struct(F.col("least").isNull(), "least", "node"))["node"].alias("keeper"))
