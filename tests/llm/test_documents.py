@@ -349,6 +349,15 @@ def test_near_finds_pairs_within_a_template_family(spark):
     assert Counter((r.doc_id, r.class_id) for r in near.near_duplicates(docs).collect()) == want
 
 
+def test_document_frequencies_do_not_depend_on_partitions(spark):
+    rng = random.Random(12)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(30)) for _ in range(1000)]
+    passage = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(f"{passage} {t}" if i % 50 == 0 else t,) for i, t in enumerate(texts)], "text string")
+    one, many = (near.common_shingles(docs.repartition(n)) for n in (1, 200))
+    assert len(one[0]) == 6 and all(np.array_equal(x, y) for x, y in zip(one, many, strict=True))
+
+
 def test_consistent_samples_agree_as_often_as_weights_do():
     rng = np.random.default_rng(3)
     s = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))

@@ -46,6 +46,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 COMMON = 0.01
 POOL = 1 << 16
+SLOT_BITS = 19
 LEVELS = 4  # weights are 2 ** (level / LEVELS)
 SEED = 7
 
@@ -113,34 +114,50 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in at least COMMON of the documents, and how far the IDF lowers their levels.
 
-    Counts come from all documents.  Within blocks of a partition, shingles seen once aren't sent, so a count may be
-    low by one a block.
+    Counts are exact, however the rows are dealt out: a first pass counts documents by slots of hashes, each of which has
+    at least the count of any of its shingles, and a second one counts the shingles of slots that reach the bound.
     """
+    spark = texts.sparkSession
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, n = 0, np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in pieces(batches):
+            s = counted(*shingles.of_texts(batch.column(0).to_pylist(), K))[0]
+            n += np.bincount((s >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(n))
+            docs += batch.num_rows
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([None, *at.tolist()], pa.int64()), pa.array([docs, *n[at].tolist()], pa.int64())], ["s", "n"])
+        shingles.forget()
+
+    sums = scratch.written(texts.mapInArrow(slots, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")), "slots")
+    total = sums.filter("s is null").select(F.sum("n")).first()[0] or 0
+    enough = (F.col("n") >= COMMON * total) & (F.col("n") >= 8) & F.col("s").isNotNull()
+    # No more rows than there are slots.
+    hot = np.zeros(1 << SLOT_BITS, bool)
+    hot[sums.filter(enough).select("s").toPandas()["s"].to_numpy(np.int64)] = True
+    hot = spark.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent(held: list[np.ndarray]) -> pa.RecordBatch:
             s, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(s[n > 1].view(np.int64)), pa.array(n[n > 1])], ["s", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(n, pa.int64())], ["s", "n"])
 
         held: list[np.ndarray] = []
-        size = docs = 0
+        size = 0
         for batch in pieces(batches):
-            s, many = shingles.of_texts(batch.column(0).to_pylist(), K)
-            held.append(counted(s, many)[0])
-            docs += batch.num_rows
+            s = counted(*shingles.of_texts(batch.column(0).to_pylist(), K))[0]
+            held.append(s[hot.value[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]])
             size += len(held[-1])
             if size > 2_000_000:
                 yield sent(held)
                 held, size = [], 0
         if held:
             yield sent(held)
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([docs], pa.int64())], ["s", "n"])
         shingles.forget()
 
     sums = scratch.written(texts.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")), "df")
-    total = sums.filter("s is null").select(F.sum("n")).first()[0] or 0
     # No more rows than the mean number of shingles of a document over COMMON.
-    rows = sums.filter((F.col("n") >= COMMON * total) & (F.col("n") >= 8) & F.col("s").isNotNull()).toPandas()
+    rows = sums.filter(enough).toPandas()
     s, n = rows["s"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(float)
     idf = np.clip(np.log(total / np.maximum(n, 1)) / np.log(1 / COMMON), 0.5, 1.0)
     order = np.argsort(s)
