@@ -24,6 +24,26 @@ def test_query_says_what_its_sql_says(spark, sf_dir, name):
     same(queries.QUERIES[name](spark, sf_dir), duck(sf_dir), queries.ORACLE[name])
 
 
+def test_contamination_finds_edited_copies(spark, sf_dir):
+    """Copies with every 5th, 6th or 7th word replaced, or 10 to 30 % at random, against the alignment of all pairs."""
+    rng = random.Random(13)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").limit(40).localCheckpoint()
+    tests = [(r.item_id, re.findall(r"\w+", r.text.lower())) for r in items.collect()]
+    docs = []
+    for _, w in tests:
+        docs += [[f"other{k}" if k % every == every - 1 else x for k, x in enumerate(w)] for every in (5, 6, 7)]
+        docs += [[f"other{k}" if rng.random() < share else x for k, x in enumerate(w)] for share in (0.1, 0.2, 0.3)]
+    docs += [d for d in docs if len(d) > 20][:40]
+    tetrads = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for _, w in tests]
+    want = set()
+    for d, text in enumerate(docs):
+        own = {tuple(text[k : k + 4]) for k in range(len(text) - 3)}
+        want |= {(d, i) for (i, w), known in zip(tests, tetrads, strict=True) if own & known and contamination.score(text, w, 0.5) >= 0.5}
+    table = spark.createDataFrame([(d, " ".join(text)) for d, text in enumerate(docs)], "doc_id long, text string")
+    assert len(want) > 200
+    assert {(r.doc_id, r.item_id) for r in contamination.contaminated(table, items).collect()} == want
+
+
 # op1
 
 

@@ -1,13 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are runs of letters, digits and underscores in lower case.  One pass over the corpus finds the places where any
 ``N`` words in a row are also in a benchmark item.  The benchmark goes to that pass as a bitmap of fixed size, so that
 nothing grows with it; what the bitmap lets through by chance is dropped when hits are joined by n-gram.  Around hits the
 pass keeps segments, reaching ``REACH`` words to both sides.
 
-Seeds.  An n-gram's document frequency is the number of documents it hits.  Of every ``SPREAD`` n-grams in a row of an
-item, the rarest is a seed.  So seeds are rare where they can be, yet a passage that is copied into very many documents
-keeps its seeds: any N + SPREAD - 1 words in a row of an item hold one.
+Seeds.  Every n-gram of an item that a segment holds is a seed, common or rare: an edited copy may keep only a few, and
+which those are can't be known from other documents.
 
 Alignment.  For each segment and each item that share a seed, words are aligned locally: MATCH a pair of equal words,
 MISMATCH and GAP else.  The score is divided by that of a full copy of the item, or of ``FULL`` words if it is longer.
@@ -25,14 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch, shingles
 from tidewater.llm.text import only, whole
 
 N = 4
-SPREAD = 4
 REACH = 96
 FULL = 64
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -103,15 +101,6 @@ def hits(docs: DataFrame, known: np.ndarray, n: int, reach: int, bits: int) -> D
     return docs.mapInArrow(run, "doc_id long, words string, hits array<struct<g:long,place:long>>")
 
 
-def seeds(gram_rows: DataFrame, df: DataFrame, spread: int) -> DataFrame:
-    """g, item_id of the rarest of every ``spread`` n-grams in a row; n-grams that hit nothing are the rarest of all."""
-    rows = gram_rows.join(df, gram_rows["g"] == df["g2"], "left").select("item_id", "place", "g", F.coalesce("n", F.lit(0)).alias("n"))
-    key = F.struct("n", "place", "g")
-    # A window of ``spread`` n-grams at each place; those cut off at an item's end are whole windows of shorter items.
-    ahead = Window.partitionBy("item_id").orderBy("place").rowsBetween(0, spread - 1)
-    return rows.select("item_id", F.min(key).over(ahead)["g"].alias("g")).distinct()
-
-
 def local_score(a: list[int], b: np.ndarray) -> int:
     """The best local alignment score of two sequences of word numbers, row by row."""
     step = np.arange(1, len(b) + 1) * GAP
@@ -135,15 +124,14 @@ def score(segment: list[str], item: list[str], threshold: float) -> float:
     return min(1.0, local_score([number.get(w, -1) for w in segment], np.array([number[w] for w in item])) / full)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = N, spread: int = SPREAD, reach: int = REACH, bits: int = BITS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = N, reach: int = REACH, bits: int = BITS) -> DataFrame:
     """doc_id, item_id and score (rounded to 6 digits) of every document and item that align at ``threshold`` or more."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     items = only(items, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), whole(F.col("text")).alias("item"))
     gram_rows = scratch.written(item_grams(items, n), "item-grams")
     found = scratch.written(hits(docs, bitmap(gram_rows, bits), n, reach, bits).withColumn("sid", F.monotonically_increasing_id()), "segments")
     each = found.select("sid", "doc_id", F.explode("hits").alias("h")).select("sid", "doc_id", F.col("h.g").alias("g3"))
-    df = each.groupBy("g3").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).select(F.col("g3").alias("g2"), "n")
-    chosen = scratch.written(seeds(gram_rows, df, spread), "seeds")
+    chosen = gram_rows.select("g", "item_id").distinct()
     pairs = each.join(chosen, F.col("g3") == F.col("g")).select("sid", "item_id").distinct().select(F.col("sid").alias("s2"), F.col("item_id").alias("i2"))
     texts = items.select(F.col("item_id").alias("i3"), "item")
     both = found.join(pairs, F.col("sid") == F.col("s2")).join(texts, F.col("i2").eqNullSafe(F.col("i3"))).select("doc_id", F.col("i3").alias("item_id"), "words", "item")
