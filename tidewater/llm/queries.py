@@ -44,7 +44,7 @@ ORACLE["op2_line_hashes"] = linehash.ORACLE
 @query
 def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
-    return wrapper.extract(table(spark, sf_dir, "pages"))
+    return wrapper.extract(table(spark, sf_dir, "pages")).drop("by_template")
 
 
 @query
