@@ -102,28 +102,51 @@ def test_chunks_resist_shifts():
 # op2, op10
 
 
+def said(text):
+    """First line, number of lines, normalised words of every line and paragraph."""
+    lines = [" ".join(WORD.findall(x)).lower() for x in text.split("\n")]
+    out = [(i, 1, x) for i, x in enumerate(lines) if x]
+    for i, x in enumerate(lines):
+        if x and (not i or not lines[i - 1]):
+            n = next((k for k in range(i, len(lines)) if not lines[k]), len(lines)) - i
+            if n > 1:
+                out.append((i, n, " ".join(lines[i : i + n])))
+    return out
+
+
 def test_line_hashes(spark, odd, odd_rows, empty):
     gone = linehash.removals(odd).collect()
-    texts = defaultdict(set)
-    for i, t, *_ in odd_rows:
-        texts[i].add(t or "")
-    seen: dict[str, set] = defaultdict(set)
-    for i in texts:
-        for t in texts[i]:
-            for u, line in enumerate(t.split("\n")):
-                if len(WORD.findall(line)) >= linehash.MIN_WORDS:
-                    seen[" ".join(WORD.findall(line)).lower()].add((i is not None, i or 0, u))
-    want = {(i, u) for places in seen.values() for _, i, u in sorted(places)[1:]}
-    assert {(r.doc_id, r.unit) for r in gone} == want and want
+    texts = {(i, hashlib.md5((t or "").encode()).hexdigest()): t or "" for i, t, *_ in odd_rows}
+    seen = defaultdict(list)
+    for (i, row), t in texts.items():
+        for u, n, x in said(t):
+            seen[x].append((i is not None, i or 0, row, u, n))
+    want = {(row, u, n) for places in seen.values() for _, _, row, u, n in sorted(places)[1:]}
+    assert {(r.row, r.unit, r.n_lines) for r in gone} == want and want and {r.kind for r in gone} == {"line", "paragraph"}
     for r in gone:
-        assert any(len(WORD.findall(t[r.start : r.end])) == r.n_words for t in texts[r.doc_id])
+        assert len(WORD.findall(texts[r.doc_id, r.row][r.start : r.end])) == r.n_words
     left = {r.doc_id: r for r in linehash.without(odd, linehash.removals(odd)).filter("doc_id in (7, 8)").collect()}
-    whole = next(iter(texts[8]))
+    whole = next(t for (i, _), t in texts.items() if i == 8)
     assert left[8].text == "\n".join(whole[s.start : s.end] for s in left[8].kept) and len(left[8].text) < len(whole)
-    assert next(iter(texts[7])) == left[7].text
+    assert left[7].text == next(t for (i, _), t in texts.items() if i == 7)
     assert linehash.removals(empty).count() == 0
 
 
+def test_short_and_rewrapped_units(spark):
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, f"Of.\n\n{passage}\n\nend"), (2, "of.\n\n" + passage.replace(" six ", "\nsix ").upper() + "\n\nother"), (3, "a b\nc d"), (3, "new line\nx"), (3, "x\na b"), (None, "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = linehash.removals(docs)
+    got = {(r.doc_id, r.kind, r.unit, r.n_lines, r.keeper_doc_id) for r in gone.collect() if r.doc_id != 3}
+    assert got == {(1, "line", 4, 1, None), (2, "line", 0, 1, 1), (2, "paragraph", 2, 2, 1)}
+    left = Counter((r.doc_id, r.text) for r in linehash.without(docs, gone).collect())
+    # What is unique stays with its row, whichever rows share the id.
+    assert left[2, "\n\nother"] == left[1, f"Of.\n\n{passage}\n"] == 1
+    kept = Counter(x for (i, t), n in left.items() if i == 3 for x in t.split("\n") if x)
+    assert kept == Counter(["a b", "c d", "new line", "x"])
+    assert {r.n_words for r in linehash.removals(docs, min_words=5).collect()} == {12}
+
+
 def test_line_chunks(spark, odd, empty):
     gone = linechunks.removals(odd)
     rows = gone.collect()
@@ -137,6 +160,18 @@ def test_line_chunks(spark, odd, empty):
     assert linechunks.removals(empty).count() == 0
 
 
+def test_line_chunks_of_rows_with_one_id(spark):
+    """The same lines go once from one of the rows that share an id; a third row's own lines stay."""
+    lines = [f"line {i} of this text" for i in range(40)]
+    other = [f"another line {i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (1, "\n".join(["x", *lines])), (1, "\n".join(other))], "doc_id long, text string")
+    for bits in (linechunks.BITS, 16):
+        gone = linechunks.removals(docs, bits=bits)
+        n = sum(r.n_lines for r in gone.collect())
+        left = Counter(x for r in linechunks.without(docs, gone).collect() for x in r.text.split("\n"))
+        assert n > 25 and sum(left.values()) == 121 - n and set(left) == {"x", *lines, *other}
+
+
 def test_line_chunks_shift(spark):
     lines = [f"line number {i} of a long text" for i in range(60)]
     docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["new first line", *lines]))], "doc_id long, text string")

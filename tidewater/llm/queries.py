@@ -34,8 +34,8 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_line_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line that goes because an earlier one says the same."""
-    return linehash.removals(table(spark, sf_dir, "documents"))
+    """Every line and paragraph that goes because an earlier one says the same."""
+    return linehash.removals(table(spark, sf_dir, "documents")).drop("row", "keeper_row")
 
 
 ORACLE["op2_line_hashes"] = linehash.ORACLE
@@ -97,7 +97,7 @@ def op9_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chunk of lines that goes because an earlier one has the same bytes."""
-    return linechunks.removals(table(spark, sf_dir, "documents"))
+    return linechunks.removals(table(spark, sf_dir, "documents")).drop("row", "keeper_row")
 
 
 ORACLE["op10_line_chunks"] = linechunks.ORACLE
