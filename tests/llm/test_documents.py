@@ -74,10 +74,42 @@ def test_token_store(spark, odd, odd_rows):
     assert max(held.values()) == 1
 
 
-def test_token_store_finds_damage(spark, odd, odd_rows):
-    row = {"doc_id": 1, "lens": [2], "foreign": None, "pieces": None, "payload": tokenstore.zstandard.compress(b"\1\0\2\0"), "root": b"wrong"}
-    with pytest.raises(ValueError, match="Merkle root"):
-        tokenstore.stream(row, tokenstore.zstandard.ZstdDecompressor(), 2)
+def rewritten(path, kind, change):
+    """Changes the rows of the first stored file of a kind that has two or more."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for f in sorted(Path(path.removeprefix("file://")).glob(f"kind={kind}/*.parquet")):
+        t = pq.ParquetFile(f).read()
+        rows = t.to_pylist()
+        if len(rows) > 1 or kind != "doc":
+            f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+            pq.write_table(pa.Table.from_pylist(change(rows), t.schema), f)
+            return
+    raise AssertionError("no file to damage")
+
+
+def renamed(rows):
+    return [rows[0] | {"doc_id": 999}, *rows[1:]]
+
+
+def swapped(rows):
+    return [rows[0] | {"root": rows[1]["root"]}, rows[1] | {"root": rows[0]["root"]}, *rows[2:]]
+
+
+def altered(rows):
+    """Another document's ids in place of the first one's."""
+    other = next(r for r in rows[1:] if r["payload"] != rows[0]["payload"])
+    return [rows[0] | {"payload": other["payload"]}, *rows[1:]]
+
+
+@pytest.mark.parametrize("kind,change", [("doc", lambda r: r[1:]), ("doc", lambda r: [*r, r[0]]), ("doc", renamed), ("doc", swapped), ("doc", altered), ("shard", lambda r: []), ("corpus", lambda r: [])])
+def test_token_store_finds_damage(spark, odd, kind, change):
+    path = scratch.folder(spark, "damaged-store")
+    tokenstore.write(odd.coalesce(1), path, PATH, PATTERN)
+    rewritten(path, kind, change)
+    with pytest.raises(Exception, match="don't match|ids, not"):
+        tokenstore.digests(spark, path, "<u2").collect()
 
 
 def test_token_store_of_nothing(spark, empty, odd_rows):

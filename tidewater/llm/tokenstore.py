@@ -10,7 +10,12 @@ two kinds of rows, in ascending order of doc_id within and across shards:
     holds for others too; null: none), ``payload`` (the ids of the chunks that it holds, each distinct chunk of the whole store once,
     zstd over little-endian unsigned integers) and ``root`` (Merkle root of the recipe).
 ``kind=shard``
-    shard, n_tokens, n_docs and ``root``, the Merkle root over the roots of its documents.
+    shard, n_tokens, n_docs and ``root``, the Merkle root over its documents: their ids, places, lengths and roots.
+``kind=corpus``
+    one row: n_tokens, n_docs and ``root``, the Merkle root over the shards.
+
+Reading checks all of it first (:func:`verify`): a document that is missing, doubled, swapped, moved or renamed, or a shard
+that is, raises.  Then each document's own root is checked as its ids are put together, which finds any changed id.
 
 A chunk is held by the first document (by doc_id) in which it comes.  Only digests are shuffled to find that out; ids
 are moved once, compressed, when the rows are dealt by ranges of doc_id.  Reading decodes most documents where they
@@ -26,6 +31,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+import struct
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -158,6 +164,11 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
+def leaf(doc_id: int | None, start: int, n_tokens: int, root: bytes) -> bytes:
+    """What a shard's root covers of a document."""
+    return blake2b(struct.pack("<?qqq", doc_id is not None, doc_id or 0, start, n_tokens) + root, digest_size=DIGEST).digest()
+
+
 STAGED = "doc_id long, root binary, n_tokens int, digests array<binary>, lens array<int>, payload binary"
 
 
@@ -168,29 +179,31 @@ def staged(docs: DataFrame, tokenizer: str, pattern: str, end_id: int) -> DataFr
         enc, pack = encoder(tokenizer, pattern), zstandard.ZstdCompressor(1)
         caches.take("pieces", enc.known.clear)
         gc.disable()  # lists of pieces make no cycles, but would have the collector look for them
-        width, end = np.dtype(enc.kind).itemsize, np.array([end_id], enc.kind).tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                raw = [r + end for r in enc.encode(texts)]
-                n = np.array([len(r) // width for r in raw])
-                first = np.cumsum(n) - n
-                where = cuts(np.frombuffer(b"".join(raw), enc.kind))
-                lo, hi = np.searchsorted(where, first, "right"), np.searchsorted(where, first + n, "right")
-                lens = [chunks_of(int(m), where[a:b] - f) for m, a, b, f in zip(n, lo, hi, first, strict=True)]
-                digests = []
-                for r, ls in zip(raw, lens, strict=True):
-                    p, own = 0, []
-                    for k in ls:
-                        own.append(blake2b(r[p : (p := p + k * width)], digest_size=DIGEST).digest())
-                    digests.append(own)
-                roots = [merkle(d) for d in digests]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
-                    ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
-                )
-        gc.enable()
+        try:
+            width, end = np.dtype(enc.kind).itemsize, np.array([end_id], enc.kind).tobytes()
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    texts = [t or "" for t in batch.column(1).to_pylist()]
+                    raw = [r + end for r in enc.encode(texts)]
+                    n = np.array([len(r) // width for r in raw])
+                    first = np.cumsum(n) - n
+                    where = cuts(np.frombuffer(b"".join(raw), enc.kind))
+                    lo, hi = np.searchsorted(where, first, "right"), np.searchsorted(where, first + n, "right")
+                    lens = [chunks_of(int(m), where[a:b] - f) for m, a, b, f in zip(n, lo, hi, first, strict=True)]
+                    digests = []
+                    for r, ls in zip(raw, lens, strict=True):
+                        p, own = 0, []
+                        for k in ls:
+                            own.append(blake2b(r[p : (p := p + k * width)], digest_size=DIGEST).digest())
+                        digests.append(own)
+                    roots = [merkle(d) for d in digests]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0), pa.array(roots, pa.binary()), pa.array(n, pa.int32()), pa.array(digests, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array([pack.compress(r) for r in raw], pa.binary())],
+                        ["doc_id", "root", "n_tokens", "digests", "lens", "payload"],
+                    )
+        finally:
+            gc.enable()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, STAGED)
 
@@ -230,7 +243,7 @@ def shards(rows: DataFrame, kind: str) -> DataFrame:
                     pending = None
                 if own:
                     rows = part.take(pa.array(own))
-                    roots += rows.column("root").to_pylist()
+                    roots += map(leaf, *[rows.column(c).to_pylist() for c in ("doc_id",)], starts, *[rows.column(c).to_pylist() for c in ("n_tokens", "root")])
                     columns = [pa.repeat("doc", len(own)), pa.repeat(pa.scalar(shard, pa.int32()), len(own)), rows.column("doc_id"), pa.array(starts, pa.int64()), rows.column("n_tokens").cast(pa.int64()), pa.nulls(len(own), pa.int64())]
                     columns += [rows.column("digests").cast(SCHEMA.field("digests").type), rows.column("lens").cast(SCHEMA.field("lens").type), pa.array(foreign, SCHEMA.field("foreign").type), pa.array(shared, SCHEMA.field("shared").type), pa.array(payloads, pa.binary()), rows.column("root")]
                     yield pa.RecordBatch.from_arrays(columns, schema=SCHEMA)
@@ -260,10 +273,48 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
     mine = (F.col("uid") == F.col("h.uid")) & (F.col("i") == F.col("h.i"))
     told = told.groupBy("doc_id", "root", "uid").agg(F.collect_list(F.when(~mine, F.col("i"))).alias("borrowed"), F.collect_list(F.when(mine, F.col("i"))).alias("lent"))
     both = rows.unionByName(told, allowMissingColumns=True)
-    dealt = both.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root", "uid", F.col("payload").isNotNull())
+    # By all of the key, so that rows that share an id are dealt out, too.
+    dealt = both.repartitionByRange("doc_id", "root", "uid").sortWithinPartitions("doc_id", "root", "uid", F.col("payload").isNotNull())
     with scratch.small_batches(spark):
         shards(dealt, kind).write.partitionBy("kind").option("compression", "none").parquet(path)
     scratch.drop(spark, at)
+    corpus(spark.read.schema(STORED).parquet(path).filter("kind = 'shard'")).write.partitionBy("kind").mode("append").parquet(path)
+
+
+def corpus(shard_rows: DataFrame) -> DataFrame:
+    """The corpus row over the rows of all shards, in the store's columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One row a shard: as many as there were write tasks.
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["shard"])
+        root = merkle([leaf(r["shard"], r["n_docs"], r["n_tokens"], r["root"]) for r in rows])
+        yield pa.RecordBatch.from_pylist([{"kind": "corpus", "n_tokens": sum(r["n_tokens"] for r in rows), "n_docs": sum(r["n_docs"] for r in rows), "root": root}], SCHEMA)
+
+    return shard_rows.select("shard", "n_docs", "n_tokens", "root").repartition(1).mapInArrow(run, STORED)
+
+
+def verify(spark: SparkSession, path: str) -> None:
+    """Raises unless the documents of every shard are those of its root, and the shards those of the corpus root."""
+    rows = spark.read.schema(STORED).parquet(path)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for shard, docs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                docs.sort(key=lambda d: (d["local_start"], d["root"]))
+                out.append({"shard": shard, "n_docs": len(docs), "n_tokens": sum(d["n_tokens"] for d in docs), "root": merkle([leaf(d["doc_id"], d["local_start"], d["n_tokens"], d["root"]) for d in docs])})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([SCHEMA.field(c) for c in ("shard", "n_docs", "n_tokens", "root")]))
+
+    # Places and roots of a shard's documents, 50 bytes each; a shard is what one task wrote.
+    held = rows.filter("kind = 'doc'").groupBy("shard").agg(F.collect_list(F.struct("doc_id", "local_start", "n_tokens", "root")).alias("docs"))
+    found = held.mapInArrow(again, "shard int, n_docs long, n_tokens long, root binary")
+    said = rows.filter("kind = 'shard'").select("shard", "n_docs", "n_tokens", "root")
+    wrong = found.exceptAll(said).union(said.exceptAll(found)).select("shard").distinct().limit(5).collect()
+    if wrong:
+        raise ValueError(f"documents of shards {sorted(r.shard for r in wrong)} don't match the manifest of {path}")
+    of = ["n_docs", "n_tokens", "root"]
+    if [tuple(r) for r in corpus(said).select(*of).collect()] != [tuple(r) for r in rows.filter("kind = 'corpus'").select(*of).collect()]:
+        raise ValueError(f"the shards of {path} don't match its corpus root")
 
 
 def read(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -315,11 +366,14 @@ def stream(r: dict, unpack: zstandard.ZstdDecompressor, width: int) -> bytes:
         out = b"".join(parts)
     if merkle([blake2b(c, digest_size=DIGEST).digest() for c in parts]) != r["root"]:
         raise ValueError(f"the ids of document {r['doc_id']} don't match their Merkle root")
+    if len(out) != r["n_tokens"] * width:
+        raise ValueError(f"document {r['doc_id']} has {len(out) // width} ids, not {r['n_tokens']}")
     return out
 
 
 def digests(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 (over little-endian unsigned 32-bit ids) of every stored document."""
+    """doc_id, start, n_tokens and ids_crc32 (over little-endian unsigned 32-bit ids) of every stored document, after verify()."""
+    verify(spark, path)
     width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
