@@ -8,9 +8,13 @@ A document's key is -ln(u) / w with u from a seeded hash of its id and w its qua
 come in ascending order of their keys.  A target of k whole epochs and a rest takes every document k times and then the
 first documents by key, up to the rest; the document in which the rest ends is taken for what is left.
 
-The prefix sum has two levels, so that a source with a third of all rows is no task's load: keys fall into
-``key_buckets`` ranges a source, word counts are summed by (source, range), the range sums are prefix-summed, and then
-each range is sorted by itself.
+The prefix sum has two levels, so that a source with a third of all rows is no task's load: keys fall into ranges, of
+which each is 2 ** (1 / RANGES) times as wide as the one before; word counts are summed by (source, range), the range sums
+are prefix-summed, and then each range is sorted by itself.  A weight moves all keys by a factor, and so shifts them along
+such ranges; for any weights, a range has at most ln 2 / (e RANGES) of a source's documents, 1 in 4000.  A range of keys
+below 2 ** -LOW or above 2 ** LOW ends there; next to no key does.
+
+Sizes, weights and keys are found in one pass over the texts and written.
 
 Defined results for odd input: a null text has no word; a null source is a source of its own and the last; an empty
 document takes nothing; documents with equal id and text are told apart by running sums only, so that reruns give the
@@ -22,13 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm import scratch
 from tidewater.llm.quality import SYMBOLS
 from tidewater.llm.text import WORD, n_of, n_words, whole, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-KEY_BUCKETS = 4096
+RANGES, LOW = 1024, 64
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -58,6 +63,12 @@ def sampling_key(id_col: Column, weight: Column, seed: int) -> Column:
     return -F.log(u) / weight
 
 
+def key_range(key: Column) -> Column:
+    """The number of the range of a key, ascending with it."""
+    octave = F.least(F.greatest(F.log2(F.greatest(key, F.lit(1e-300))), F.lit(-LOW)), F.lit(LOW))
+    return F.floor((octave + LOW) * RANGES).cast("int")
+
+
 def text_weight(text: Column) -> Column:
     """A quality weight in [0.05, 1]: symbols among the characters and an open last sentence lower it."""
     text = whole(text)
@@ -73,7 +84,6 @@ def mix(
     share: float = SHARE,
     most: int = MOST,
     seed: int = 20240607,
-    key_buckets: int = KEY_BUCKETS,
     carry: Column | None = None,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, taken (and ``carry``, if given, under the name _carry) for every row of ``docs``."""
@@ -83,8 +93,7 @@ def mix(
     if carry is not None:
         cols.append(carry.alias("_carry"))
     df = docs.select(*cols)
-    # 1 - exp(-key) spreads keys of unit weight evenly and keeps their order.
-    df = df.withColumn("_b", F.least(F.floor((1 - F.exp(-F.col("_key"))) * key_buckets), F.lit(key_buckets - 1)).cast("int"))
+    df = scratch.written(df.withColumn("_b", key_range(F.col("_key"))), "keys")
     ranges = df.groupBy("source", "_b").agg(F.sum("size").alias("_sum"))
     by_range = Window.partitionBy("source").orderBy("_b")
     ranges = ranges.withColumn("_before", F.sum("_sum").over(by_range) - F.col("_sum"))
