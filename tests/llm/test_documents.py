@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -240,6 +241,32 @@ def test_quality_keeps_labelled_good_documents(spark, sf_dir):
     assert all(r.kept for r in rows if r.quality == 1) and not any(r.kept for r in rows if r.quality == 0)
 
 
+def test_quality_leaves_wrapped_prose_alone(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    good = [(r.doc_id, r.text) for r in docs.join(labels.filter("quality = 1"), "doc_id").collect() if len(r.text.split()) >= 100]
+    rows = [(i * 1000 + width, "\n".join("\n".join(textwrap.wrap(line, width)) for line in t.split("\n"))) for i, t in good for width in (60, 72, 80)]
+    got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).filter("not base_failed").selectExpr("doc_id % 1000 as width", "kept", "n_clean_chars / word_chars as share").collect()
+    for width in (60, 72, 80):
+        own = [r for r in got if r.width == width]
+        assert len(own) > 200 and sum(r.kept for r in own) >= 0.98 * len(own) and np.mean([r.share for r in own]) > 0.93
+
+
+def test_quality_of_other_scripts_and_bad_lines(spark):
+    rows = [
+        (1, "यह एक लंबा वाक्य है जिसमें बहुत सारे शब्द हैं और जो अंत में एक दंड के साथ समाप्त होता है क्योंकि यह हिंदी में लिखा गया है।"),
+        (2, "هل هذا نص طويل بما يكفي ليكون وثيقة جيدة في هذا الاختبار الذي نكتبه الآن من أجل التحقق من عمل القواعد في اللغة العربية؟"),
+        (3, "ภาษา ไทย ไม่มี เครื่องหมาย จบ ประโยค ดังนั้น บรรทัด นี้ จึง ไม่ ควร ถูก ลบ ออก จาก เอกสาร นี้ เลย แม้ แต่ น้อย ครับ"),
+        (4, "Սա երկար նախադասություն է հայերեն լեզվով որը պետք է մնա տեքստում քանի որ այն ավարտվում է վերջակետով և ունի շատ բառեր այս տողում։"),
+        (5, "Home\tAbout\nContact\nMore of it\n" + "A sentence " + " ".join(f"word{i}" for i in range(30)) + "."),
+        (6, "Home\nAbout us\nOur team\nAll rights reserved.\nLire la suite.\n" * 8),
+        (7, "#a $b |c &d\nNEWS AND SPORT AND WEATHER.\nOne » Two » Three.\nBuy! Now! Here! Go!\n" + "Words " + " ".join(f"word{i}" for i in range(40)) + "."),
+    ]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].kept for i in range(1, 8)] == [True, True, True, True, True, False, True]
+    assert all(got[i].n_clean_chars == got[i].word_chars for i in (1, 2, 3, 4))
+    assert got[5].clean.startswith("A sentence") and got[6].clean == "" and got[7].clean.startswith("Words")
+
+
 # op5
 
 

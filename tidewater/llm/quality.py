@@ -1,9 +1,13 @@
 """Line-first quality cleaning, in DataFrame expressions only.
 
-Every line of a document is held against the rules of :data:`LINE_RULES`; lines that fail one are removed.  A document
+Every line of a document is held against the rules of :func:`line_fails`; lines that fail one are removed.  A document
 is then rejected if it fails the base rules (too short, or too much of it repeats) or if its kept lines hold less than
 ``min_kept_share`` of its characters, white space aside.
 
+A line that ends no sentence isn't at fault where lines are broken within sentences: if it and the line before or after
+it have ``RUNNING`` words or more each, it is running text (wrapped prose, verse).  Sentence ends are those of all scripts;
+scripts that have none (Thai, Lao, Burmese, Khmer) aren't held to that rule.
+
 Nothing is shuffled: each document is judged from its own text, in one pass over the scan.
 
 Defined results for odd input: a null or empty text has no word, so it fails the base rules and its cleaned text is
@@ -24,26 +28,34 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_KEPT_SHARE = 0.5
 
-#: Words that mark a line as page furniture, whatever else it says.
+RUNNING = 5
+
+#: Phrases that mark a line as page furniture, in English, German, French and Spanish.
 BOILERPLATE = (
-    r"(?i)\b(?:enable javascript|javascript is (?:disabled|required)|use cookies|cookie policy|accept cookies|"
-    r"privacy policy|terms of (?:use|service)|all rights reserved|lorem ipsum|sign in|log in|subscribe now|"
-    r"click here|read more|share this)\b"
+    r"(?i)\b(?:enable javascript|javascript is (?:disabled|required)|(?:we|this site) uses? cookies|use cookies|cookie (?:policy|settings)|accept (?:all )?cookies|"
+    r"privacy (?:policy|notice)|terms (?:of (?:use|service)|and conditions)|all rights reserved|lorem ipsum|sign (?:in|up)|log (?:in|out)|subscribe now|"
+    r"click here|read more|share this|follow us|skip to (?:main )?content|back to top|powered by|"
+    r"alle rechte vorbehalten|impressum|datenschutzerkl[äÄ]rung|cookies (?:akzeptieren|verwenden)|weiterlesen|jetzt anmelden|"
+    r"tous droits r[éÉ]serv[éÉ]s|mentions l[éÉ]gales|politique de confidentialit[éÉ]|accepter les cookies|lire la suite|"
+    r"todos los derechos reservados|aviso legal|pol[íÍ]tica de (?:privacidad|cookies)|aceptar (?:las )?cookies|leer m[áÁ]s)"
 )
-SENTENCE = r"""[.!?;:…。！？]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)"""
+#: Marks that end a sentence or a clause.  Those of the first class count before white space only.
+SENTENCE = r"""[.!?;:…]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)|[。．｡！？；：؟۔؛।॥։՞՜።፧။។៕།༎᠃᠉‽⸮]"""
+#: Letters of scripts that end sentences without a mark.
+UNMARKED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}]"
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line that has a word fails a rule.  A line has one word more than spaces here."""
-    n = n_of(line, " ") + 1
+def line_fails(line: Column, n: Column, before: Column, after: Column) -> Column:
+    """Whether a line fails a rule; it has ``n`` words, and the lines beside it ``before`` and ``after`` (null: there is none)."""
+    beside = (F.coalesce(before, F.lit(0)) >= RUNNING) | (F.coalesce(after, F.lit(0)) >= RUNNING)
     rules = (
-        # Punctuation: nothing in the line ends a sentence or a clause.
-        ~line.rlike(SENTENCE),
+        # Punctuation: nothing in the line ends a sentence or a clause, and it isn't running text.
+        ~((n >= RUNNING) & beside) & ~line.rlike(SENTENCE) & ~line.rlike(UNMARKED),
         # Punctuation: symbols, or exclamation marks, on nearly every other word.
         n_of(line, SYMBOLS) * 2 > n,
         (n >= 4) & (n_of(line, "!") * 2 > n),
         # Navigation: a bar or an arrow for every third word.
-        (n_of(line, "|") + n_of(line, "»")) * 3 >= n + 1,
+        (n_of(line, "|") + n_of(line, "»") + n_of(line, "›")) * 3 >= n + 1,
         # Navigation: shouted menus.
         (F.length(line) >= 20) & (F.upper(line) == line) & (F.lower(line) != line),
         # Boilerplate phrases make up a short line.
@@ -88,8 +100,9 @@ def measure(df: DataFrame) -> DataFrame:
 
 def cleaned(df: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """Adds ``clean`` (the text without failed lines), n_clean_chars (without white space) and ``kept`` to measured rows."""
-    good = F.filter(F.split("body", "\n"), lambda x: ~x.rlike(WORD) | ~line_fails(x))
-    df = df.withColumn("clean", F.array_join(good, "\n"))
+    df = df.withColumn("_x", F.transform(F.split("body", "\n"), lambda x: F.struct(x.alias("l"), F.regexp_count(x, F.lit(WORD)).alias("n"))))
+    good = F.filter("_x", lambda x, i: (x["n"] == 0) | ~line_fails(x["l"], x["n"], F.get("_x", i - 1)["n"], F.get("_x", i + 1)["n"]))
+    df = df.withColumn("clean", F.array_join(F.transform(good, lambda x: x["l"]), "\n")).drop("_x")
     df = df.withColumn("n_clean_chars", F.length(F.regexp_replace("clean", GAP, "")).cast("long"))
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("n_clean_chars") >= min_kept_share * F.col("word_chars")))
 
@@ -127,18 +140,18 @@ windows AS (
   SELECT doc_id, i, {" || ' ' || ".join(f"lead(w, {k}) OVER d" for k in range(WINDOW))} AS win FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows WHERE win IS NOT NULL) WHERE n > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range({WINDOW}) AS r(k) GROUP BY doc_id),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM docs),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM docs),
+counted AS (SELECT *, len(regexp_extract_all(l, '{WORD}')) AS n FROM lines),
 ruled AS (
-  SELECT doc_id, l, length(l) - length(replace(l, ' ', '')) + 1 AS n,
-    length(regexp_replace(l, '{GAP}', '', 'g')) AS chars FROM lines WHERE regexp_matches(l, '{WORD}')),
+  SELECT *, greatest(lag(n, 1, 0) OVER d, lead(n, 1, 0) OVER d) AS beside, length(regexp_replace(l, '{GAP}', '', 'g')) AS chars FROM counted WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 judged AS (
-  SELECT *, NOT regexp_matches(l, '{SENTENCE.replace("'", "''")}')
+  SELECT *, (NOT (n >= {RUNNING} AND beside >= {RUNNING}) AND NOT regexp_matches(l, '{SENTENCE.replace("'", "''")}') AND NOT regexp_matches(l, '{UNMARKED}'))
     OR len(regexp_extract_all(l, '[#*$%&|<>]')) * 2 > n
     OR (n >= 4 AND (length(l) - length(replace(l, '!', ''))) * 2 > n)
-    OR (length(l) - length(replace(l, '|', '')) + length(l) - length(replace(l, '»', ''))) * 3 >= n + 1
+    OR (length(l) - length(replace(l, '|', '')) + length(l) - length(replace(l, '»', '')) + length(l) - length(replace(l, '›', ''))) * 3 >= n + 1
     OR (length(l) >= 20 AND upper(l) = l AND lower(l) <> l)
     OR (n <= 12 AND regexp_matches(l, '{BOILERPLATE}')) AS fails
-  FROM ruled),
+  FROM ruled WHERE n > 0),
 summed AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines, coalesce(sum(chars) FILTER (WHERE NOT fails), 0) AS n_clean_chars FROM judged GROUP BY doc_id),
 base AS (
   SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,

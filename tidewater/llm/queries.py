@@ -49,6 +49,7 @@ def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, the base verdict and the method's."""
     out = quality.quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_clean_chars")
 
@@ -75,6 +76,7 @@ ORACLE["op6_warc_revisits"] = revisits.ORACLE
 
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.text_weight(docs["text"])).select("doc_id", "size", "source_size", "target", "taken")
 
