@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The corpus as token ids in the content-addressed store, read back: doc_id, start, n_tokens, ids_crc32."""
     tokenizer, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
-    path = scratch.folder(spark, "token-store")
+    path = scratch.folder(spark, "token-store", keep=True)
     tokenstore.write(docs, path, tokenizer, pattern)
     return tokenstore.digests(spark, path, tokenstore.id_kind(tokenizer, pattern))
 
@@ -53,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other; what a stage has written on its way goes once its result is."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch.mark()
     for name, stage in STAGES:
-        docs = scratch.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch.folder(spark, f"stage-{name}")
+        docs = scratch.written(stage(spark, docs, sf_dir), f"stage-{name}", path)
+        scratch.clear(spark, since, path)
     return docs

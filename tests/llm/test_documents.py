@@ -27,23 +27,40 @@ def test_query_says_what_its_sql_says(spark, sf_dir, name):
 
 
 def test_contamination_finds_edited_copies(spark, sf_dir):
-    """Copies with every 5th, 6th or 7th word replaced, or 10 to 30 % at random, against the alignment of all pairs."""
+    """Against the alignment of all pairs: copies with words replaced at fixed distances, and replaced, put in and taken out at 5 to 30 %."""
     rng = random.Random(13)
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").limit(40).localCheckpoint()
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").limit(40)
     tests = [(r.item_id, re.findall(r"\w+", r.text.lower())) for r in items.collect()]
+    common = [w for _, t in tests for w in t]
+
+    def edited(w, share):
+        for x in w:
+            kind = rng.random() / share
+            if kind < 1 / 3:
+                continue
+            yield x if kind > 2 / 3 else rng.choice(common)
+            if 2 / 3 < kind < 1:
+                yield rng.choice(common)
+
     docs = []
     for _, w in tests:
-        docs += [[f"other{k}" if k % every == every - 1 else x for k, x in enumerate(w)] for every in (5, 6, 7)]
-        docs += [[f"other{k}" if rng.random() < share else x for k, x in enumerate(w)] for share in (0.1, 0.2, 0.3)]
-    docs += [d for d in docs if len(d) > 20][:40]
-    tetrads = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for _, w in tests]
-    want = set()
-    for d, text in enumerate(docs):
-        own = {tuple(text[k : k + 4]) for k in range(len(text) - 3)}
-        want |= {(d, i) for (i, w), known in zip(tests, tetrads, strict=True) if own & known and contamination.score(text, w, 0.5) >= 0.5}
+        docs += [[f"other{k}" if k % every == every - 1 else x for k, x in enumerate(w)] for every in (3, 4, 5)]
+        docs += [list(edited(w, share)) for share in (0.05, 0.1, 0.2, 0.3)]
+    docs += [["x"] * 300 + d + ["y"] * 300 + docs[0] for d in docs[:20]]
+    want = {(d, i) for d, text in enumerate(docs) for i, w in tests if contamination.score(text, w, 0.5) >= 0.5}
     table = spark.createDataFrame([(d, " ".join(text)) for d, text in enumerate(docs)], "doc_id long, text string")
-    assert len(want) > 200
-    assert {(r.doc_id, r.item_id) for r in contamination.contaminated(table, items).collect()} == want
+    got = {(r.doc_id, r.item_id) for r in contamination.contaminated(table, items).collect()}
+    assert len(want) > 250 and got <= want and len(got) >= 0.99 * len(want)
+
+
+def test_contamination_aligns_as_far_as_it_goes(spark):
+    """A long item with long gaps between its parts, of which only the first is a seed; and two items under one id."""
+    w = [f"w{i}" for i in range(120)]
+    spread = [x for i, p in enumerate(range(0, 120, 12)) for x in [*w[p : p + 12], *[f"gap{i}x{k}" for k in range(15)]]]
+    docs = spark.createDataFrame([(1, " ".join(spread)), (2, " ".join(w[:40]))], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(w)), (5, "another text of that id here"), (None, " ".join(w[:30]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in contamination.contaminated(docs, items).collect()}
+    assert got[1, 5] == round((240 - 9 * 15) / 128, 6) and got[2, 5] == 0.625 and got[2, None] == 1.0
 
 
 # op1
@@ -457,6 +474,51 @@ def test_near_equals_brute_force_on_a_table(spark, sf_dir):
     assert Counter((r.doc_id, r.class_id) for r in near.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()) == classes(rows)
 
 
+def test_near_does_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = [Counter((r.doc_id, r.class_id) for r in near.near_duplicates(docs.repartition(n)).collect()) for n in (1, 7, 61)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_near_weighs_common_passages_less(spark):
+    """Pairs that differ in a passage of many documents only: under 0.8 by counts, over it by TF-IDF.  Against all pairs."""
+    rng = random.Random(17)
+    words = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n)]
+    passages = [words(36) for _ in range(2)]
+    texts = []
+    for i in range(600):
+        own = words(100)
+        texts.append(own + (passages[i % 2] if i % 10 == 0 else []))
+        if i % 20 == 0:
+            texts.append(own)
+        if i % 25 == 1:
+            texts.append(own[: rng.randint(80, 95)] + words(8))
+    shingle = [Counter(tuple(t[k : k + 5]) for k in range(len(t) - 4)) for t in texts]
+    df = Counter(g for s in shingle for g in s)
+    idf = lambda g: 2.0 ** (round(4 * np.log2(np.clip(np.log(len(texts) / df[g]) / np.log(100), 0.5, 1.0))) / 4) if df[g] >= max(8, 0.01 * len(texts)) else 1.0
+    weights = {g: idf(g) for g in df}
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    by_idf = 0
+    for i, a in enumerate(shingle):
+        for j in range(i):
+            b = shingle[j]
+            if a & b:
+                plain = sum((a & b).values()) / sum((a | b).values())
+                weighed = sum(weights[g] * n for g, n in (a & b).items()) / sum(weights[g] * n for g, n in (a | b).items())
+                by_idf += plain < 0.8 <= weighed
+                if max(plain, weighed) >= 0.8:
+                    root[max(find(i), find(j))] = min(find(i), find(j))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(9)
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()}
+    assert by_idf >= 25 and got == {i: find(i) for i in range(len(texts))}
+
+
 def test_near_finds_pairs_within_a_template_family(spark):
     """All texts are just under 0.8 to each other by their template, and some pairs are over it."""
     rng = random.Random(11)

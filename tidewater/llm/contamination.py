@@ -1,19 +1,24 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters, digits and underscores in lower case.  One pass over the corpus finds the places where any
-``N`` words in a row are also in a benchmark item.  The benchmark goes to that pass as a bitmap of fixed size, so that
-nothing grows with it; what the bitmap lets through by chance is dropped when hits are joined by n-gram.  Around hits the
-pass keeps segments, reaching ``REACH`` words to both sides.
+Words are runs of letters, digits and underscores in lower case.  One pass over the corpus finds the places where ``N``
+words of a text are also in a benchmark item.  The benchmark goes to that pass as a bitmap of fixed size, so that
+nothing grows with it; what the bitmap lets through by chance is dropped when hits are joined by n-gram.
 
-Seeds.  Every n-gram of an item that a segment holds is a seed, common or rare: an edited copy may keep only a few, and
-which those are can't be known from other documents.
+Seeds.  N words are taken in a row and with one word left out in their middle, on both sides, and any of one kind may meet
+any of the other.  So a word replaced, put in or taken out between them doesn't break a seed: copies with every third word
+replaced have seeds.  Every n-gram of an item that a text holds is one, common or rare, as which of them an edited copy
+keeps can't be known from other documents; four words that say the same are rare enough.
 
-Alignment.  For each segment and each item that share a seed, words are aligned locally: MATCH a pair of equal words,
-MISMATCH and GAP else.  The score is divided by that of a full copy of the item, or of ``FULL`` words if it is longer.
+Alignment.  Around hits the pass keeps segments, which reach ``REACH`` times the longest item's words to both sides.  A
+local alignment has fewer gaps than it gains from matches, MATCH for each word of the item at most, so none that holds
+the seed reaches further.  For each segment and each item that share a seed, words are aligned locally: MATCH a pair of
+equal words, MISMATCH and GAP else.  The score is divided by that of a full copy of the item, or of ``FULL`` words if it
+is longer: that much of a long item is a copy, whatever the rest.
 
 Defined results for odd input: null and empty texts hit nothing; items of fewer than N words are found only in
-documents of just those words; equal items are reported each; rows with one doc_id count as one document with several
-texts, and give their best score; an empty benchmark or corpus has no rows; other columns aren't read.
+documents of just those words; equal items are reported each; items that share an id are aligned each, and the best
+score counts; so do rows with one doc_id, as one document with several texts; an empty benchmark or corpus has no rows;
+other columns aren't read.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from tidewater.llm import scratch, shingles
 from tidewater.llm.text import only, whole
 
 N = 4
-REACH = 96
+REACH = 3
 FULL = 64
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
@@ -39,25 +44,33 @@ BITS = 26
 WORDS = re.compile(r"\w+")
 
 
-def grams(texts: list[str | None], n: int) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    """Words of each text, the hashes of its n-grams, one text after the other, and how many each has."""
+def grams(texts: list[str | None], n: int) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text; the hashes of its n-grams, plain and gapped, with the text's number and the place of the first word."""
     split = [WORDS.findall((t or "").lower()) for t in texts]
     many = np.array([len(w) for w in split], np.int64)
-    h, each = shingles.of_words(shingles.word_hashes([w for ws in split for w in ws]), np.cumsum(many) - many, many, n)
-    return split, h, each
+    first, words = np.cumsum(many) - many, shingles.word_hashes([w for ws in split for w in ws])
+    plain, each = shingles.of_words(words, first, many, n)
+    # The words of a gapped n-gram, put side by side: those before the gap from one word further on.
+    gaps = np.maximum(many - n, 0)
+    at = np.arange(gaps.sum()) - np.repeat(np.cumsum(gaps) - gaps, gaps) + np.repeat(first, gaps)
+    half = n // 2
+    own = words[at[:, None] + np.array([*range(half), *range(half + 1, n + 1)])].ravel()
+    gapped, _ = shingles.of_words(own, np.arange(len(at)) * n, np.full(len(at), n, np.int64), n)
+    doc = np.concatenate([np.repeat(np.arange(len(many)), each), np.repeat(np.arange(len(many)), gaps)])
+    place = np.concatenate([np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each), at - np.repeat(first, gaps)])
+    return split, np.concatenate([plain, gapped]), doc, place
 
 
 def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """item_id, place and g of every n-gram of the items."""
+    """item_id, g and ``words`` (of the item) for every n-gram of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, h, each = grams(batch.column(1).to_pylist(), n)
-            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(each)), each)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(place), pa.array(h.view(np.int64))], ["item_id", "place", "g"])
+            split, h, doc, _ = grams(batch.column(1).to_pylist(), n)
+            words = np.array([len(w) for w in split], np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(words[doc])], ["item_id", "g", "words"])
 
-    return items.mapInArrow(run, "item_id long, place long, g long")
+    return items.mapInArrow(run, "item_id long, g long, words long")
 
 
 def bitmap(gram_rows: DataFrame, bits: int) -> np.ndarray:
@@ -73,18 +86,18 @@ def bitmap(gram_rows: DataFrame, bits: int) -> np.ndarray:
 
 
 def hits(docs: DataFrame, known: np.ndarray, n: int, reach: int, bits: int) -> DataFrame:
-    """doc_id, words (of a segment) and its hits: n-gram and place in the segment."""
+    """doc_id, words (of a segment) and its hits: the n-grams that may be in items."""
     known = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, 512):
                 batch = whole_batch.slice(at, 512)
-                split, h, each = grams(batch.column(1).to_pylist(), n)
+                split, h, doc, place = grams(batch.column(1).to_pylist(), n)
                 slot = (h >> np.uint64(64 - bits)).astype(np.int64)
                 found = np.flatnonzero(known.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-                doc = np.searchsorted(np.cumsum(each), found, "right")
-                place = found - (np.cumsum(each) - each)[doc]
+                found = found[np.lexsort((place[found], doc[found]))]
+                doc, place = doc[found], place[found]
                 ids, texts, lists = [], [], []
                 new = np.ones(len(found), bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 2 * reach)
@@ -92,13 +105,13 @@ def hits(docs: DataFrame, known: np.ndarray, n: int, reach: int, bits: int) -> D
                 for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], strict=False):
                     i, first = doc[a], max(0, int(place[a]) - reach)
                     ids.append(int(i))
-                    texts.append(" ".join(split[i][first : int(place[b - 1]) + n + reach]))
-                    lists.append([{"g": g, "place": p - first} for g, p in zip(h[found[a:b]].view(np.int64).tolist(), place[a:b].tolist(), strict=True)])
-                kind = pa.list_(pa.struct([("g", pa.int64()), ("place", pa.int64())]))
+                    texts.append(" ".join(split[i][first : int(place[b - 1]) + n + 1 + reach]))
+                    lists.append(np.unique(h[found[a:b]].view(np.int64)).tolist())
+                kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(texts, pa.string()), pa.array(lists, kind)], ["doc_id", "words", "hits"])
         shingles.forget()
 
-    return docs.mapInArrow(run, "doc_id long, words string, hits array<struct<g:long,place:long>>")
+    return docs.mapInArrow(run, "doc_id long, words string, hits array<long>")
 
 
 def local_score(a: list[int], b: np.ndarray) -> int:
@@ -121,16 +134,17 @@ def score(segment: list[str], item: list[str], threshold: float) -> float:
     if not full or MATCH * sum((Counter(segment) & Counter(item)).values()) < threshold * full:
         return 0.0
     number = {w: i for i, w in enumerate(dict.fromkeys(item))}
-    return min(1.0, local_score([number.get(w, -1) for w in segment], np.array([number[w] for w in item])) / full)
+    return min(1.0, local_score([number[w] for w in item], np.array([number.get(w, -1) for w in segment])) / full)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = N, reach: int = REACH, bits: int = BITS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = N, bits: int = BITS) -> DataFrame:
     """doc_id, item_id and score (rounded to 6 digits) of every document and item that align at ``threshold`` or more."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     items = only(items, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), whole(F.col("text")).alias("item"))
     gram_rows = scratch.written(item_grams(items, n), "item-grams")
+    reach = REACH * (gram_rows.agg(F.max("words")).first()[0] or 0)
     found = scratch.written(hits(docs, bitmap(gram_rows, bits), n, reach, bits).withColumn("sid", F.monotonically_increasing_id()), "segments")
-    each = found.select("sid", "doc_id", F.explode("hits").alias("h")).select("sid", "doc_id", F.col("h.g").alias("g3"))
+    each = found.select("sid", F.explode("hits").alias("g3"))
     chosen = gram_rows.select("g", "item_id").distinct()
     pairs = each.join(chosen, F.col("g3") == F.col("g")).select("sid", "item_id").distinct().select(F.col("sid").alias("s2"), F.col("item_id").alias("i2"))
     texts = items.select(F.col("item_id").alias("i3"), "item")

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the content-addressed store of all documents and reads it back."""
     tokenizer, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
-    path = scratch.folder(spark, "token-store")
+    path = scratch.folder(spark, "token-store", keep=True)
     tokenstore.write(table(spark, sf_dir, "documents"), path, tokenizer, pattern)
     return tokenstore.digests(spark, path, tokenstore.id_kind(tokenizer, pattern))
 
