@@ -111,20 +111,20 @@ BASE = {"service.url": "/x", "topic": "t"}
 @pytest.mark.parametrize(
     "change,streaming,words",
     [
-        ({"service.url": None}, False, "service.url must be specified"),
-        ({"topics": "a,b"}, False, "one of the topic options: topic, topics, topicspattern"),
-        ({"topic": None}, True, "one of the topic options"),
-        ({"topic": "a,b"}, False, 'Use "topics" instead'),
-        ({"topic": " "}, False, "No topic is specified"),
-        ({"topic": None, "topics": " , "}, False, "No topics is specified"),
-        ({"topic": None, "topicsPattern": " "}, False, "TopicsPattern is empty"),
-        ({"startingOffsets": "latest"}, False, "can't be latest"),
-        ({"endingOffsets": "EARLIEST"}, False, "can't be earliest"),
-        ({"endingOffsets": "latest"}, True, "not valid in streaming"),
-        ({"startingOffsets": "earliest", "startingTime": "5"}, True, "not both"),
-        ({"startingTime": "soon"}, True, "cannot be converted"),
-        ({"maxBytesPerTrigger": "9"}, True, "admin.url must be specified"),
-        ({"reader.nonsense": "1"}, True, "reader.nonsense not supported"),
+        ({"service.url": None}, False, "service.url is missing"),
+        ({"topics": "a,b"}, False, "exactly one of topic, topics, topicspattern"),
+        ({"topic": None}, True, "exactly one of"),
+        ({"topic": "a,b"}, False, "topics takes a list"),
+        ({"topic": " "}, False, "topic is empty"),
+        ({"topic": None, "topics": " , "}, False, "list of topics is empty"),
+        ({"topic": None, "topicsPattern": " "}, False, "topicspattern is empty"),
+        ({"startingOffsets": "latest"}, False, "can't start at latest"),
+        ({"endingOffsets": "EARLIEST"}, False, "can't end at earliest"),
+        ({"endingOffsets": "latest"}, True, "a stream has no end"),
+        ({"startingOffsets": "earliest", "startingTime": "5"}, True, "exclude each other"),
+        ({"startingTime": "soon"}, True, "no whole number"),
+        ({"maxBytesPerTrigger": "9"}, True, "needs admin.url"),
+        ({"reader.nonsense": "1"}, True, "reader.nonsense is no option"),
     ],
 )
 def test_bad_read_options(change, streaming, words):
@@ -138,7 +138,7 @@ def test_good_options():
     o = options.read_options(BASE | {"startingTime": '{"t": 5}', "failOnDataLoss": "TRUE", "client.authParams": "x"}, False)
     assert o.start == options.Where("times", {"t": 5}) and o.fail_on_data_loss and o.passed["client"] == {"authparams": "x"}
     assert options.masked({"client.authParams": "abcdefghi", "admin.authparams": "abc", "topic": "t"}) == {"client.authParams": "abc...", "admin.authparams": "...", "topic": "t"}
-    with pytest.raises(ValueError, match="single topic"):
+    with pytest.raises(ValueError, match="a sink takes topic"):
         options.sink_options({"service.url": "x", "topics": "a"})
 
 

@@ -200,3 +200,76 @@ def test_primitives_both_ways(spark, url, kind, sql):
     want = sorted(str(r.value) for r in df.collect())
     assert sorted(str(r.value) for r in get(spark, url).collect()) == want
     assert sorted(str(r.value) for r in values(log_frame(spark, url), LogStore(url).schema("topic://main/default/t")).select("value").collect()) == want
+
+
+def damaged(url, change):
+    import pyarrow.parquet as pq
+
+    led = LogStore(url).ledgers("topic://main/default/t")[0]
+    pq.write_table(change(pq.read_table(led.path)), led.path)
+
+
+@pytest.mark.parametrize("change", [lambda t: t.filter((t["entry"].to_numpy() < 3) | (t["entry"].to_numpy() > 4)), lambda t: t.slice(1), lambda t: t.slice(0, 8)])
+def test_lost_messages_are_noticed(spark, url, tmp_path, change):
+    put(spark, url, range(10), **{"producer.batchsize": "1"})
+    damaged(url, lambda t: change(t).replace_schema_metadata(None))
+    with pytest.raises(Exception, match="Potential Data Loss"):
+        get(spark, url, failOnDataLoss="true").collect()
+    assert 7 < get(spark, url).count() < 10
+    q = Running(spark, url, tmp_path / "q", startingOffsets="earliest", failOnDataLoss="true")
+    with pytest.raises(Exception, match="Potential Data Loss"):
+        q.start().settle()
+
+
+def test_longer_topic_made_again(spark, url, tmp_path):
+    put(spark, url, [1, 2], **{"producer.batchsize": "1"})
+    q = Running(spark, url, tmp_path / "q", startingOffsets="earliest", failOnDataLoss="true").start().settle().stop()
+    LogStore(url).drop_topic("topic://main/default/t")
+    for _ in range(3):
+        put(spark, url, range(10, 20), **{"producer.batchsize": "1"})
+    with pytest.raises(Exception, match="Potential Data Loss"):
+        q.start().settle()
+    q.o["failOnDataLoss"] = "false"
+    q.start().settle().stop()
+    assert q.values() == sorted([2, 3, *[*range(11, 21)] * 3])
+
+
+def test_ledgers_of_bounded_size_are_read_apart(spark, url, monkeypatch):
+    put(spark, url, range(100), **{"producer.batchsize": "2", "producer.entriesperledger": "5", "producer.compression": "zstd"})
+    store, name = LogStore(url), "topic://main/default/t"
+    led = store.ledgers(name)
+    assert [x.entries for x in led] == [5] * 10
+    parts = store.spread(name, (0, 1, -1), (8, 2, 0), n_bytes=2 * led[0].n_bytes)
+    assert parts[0] == ((0, 1, -1), (1, 4, 0)) and parts[-1] == ((8, -1, -1), (8, 2, 0)) and len(parts) == 5
+    got = [m for p in parts for _, _, _, b in store.read(name, *p) for m in b.column("entry").to_pylist()]
+    assert len(got) == 2 * (3 + 7 * 5 + 3)
+    assert sorted(r.value for r in get(spark, url).collect()) == list(range(100))
+
+
+def test_two_writers_and_a_second_try(spark, url):
+    """Both stage before either commits; a commit that is tried again appends nothing twice."""
+    import datetime as dt
+
+    import pyarrow as pa
+
+    from tidewater.sources import log_store
+
+    store, name = LogStore(url), "topic://main/default/t"
+    row = {"entry": 0, "batch_index": 0, "batch_size": 1, "key": None, "publish_time": dt.datetime.now(dt.UTC), "event_time": None, "properties": None, "payload": b"x"}
+    table = pa.Table.from_pylist([row], schema=log_store.SCHEMA)
+    staged = {w: [store.stage(w, name, f"{k:06d}", table) for k in range(2)] for w in "ab"}
+    store.commit("a", staged["a"][:1])
+    LogStore(url).commit("b", staged["b"])
+    store.commit("b", staged["b"])
+    assert [x.number for x in store.ledgers(name)] == [0, 1, 2]
+
+
+def test_cursor_and_waiting(spark, url, tmp_path):
+    put(spark, url, [1])
+    store = LogStore(url)
+    q = Running(spark, url, tmp_path / "q", startingOffsets="earliest", predefinedSubscription="mine").start().settle()
+    put(spark, url, [2])  # a batch is committed when the next one is planned
+    q.settle().stop()
+    assert store.cursor("mine") is not None
+    with pytest.raises(Exception, match="came up"):
+        spark.read.format("tidewater").options(**{"service.url": url, "topic": "never", "waitingForNonExistedTopic": "true", "pollTimeoutMs": "300"}).load().collect()

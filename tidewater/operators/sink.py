@@ -23,14 +23,14 @@ def check(schema: T.StructType, topic: str | None) -> list[str]:
     """The value columns of a sink's input; raises ValueError if a column has the wrong type or there is no topic or value."""
     kinds = {f.name: f.dataType for f in schema.fields}
     if topic is None and "__topic" not in kinds:
-        raise ValueError("topic option required when no '__topic' attribute is present. Use the topic option for setting a topic.")
+        raise ValueError("rows have no __topic column, and the sink names no topic")
     wants = {"__topic": (T.StringType,), "__key": (T.StringType, T.BinaryType), "__eventTime": (T.LongType, T.TimestampType)}
     for name, allowed in wants.items():
         if name in kinds and not isinstance(kinds[name], allowed):
-            raise ValueError(f"{name} attribute unsupported type {kinds[name].simpleString()}. {name} must be a {' or '.join(k.typeName() for k in allowed)}")
+            raise ValueError(f"{name} is {kinds[name].simpleString()}; it has to be {' or '.join(k.typeName() for k in allowed)}")
     props = kinds.get("__messageProperties")
     if props is not None and not (isinstance(props, T.MapType) and isinstance(props.keyType, T.StringType) and isinstance(props.valueType, T.StringType)):
-        raise ValueError(f"__messageProperties attribute unsupported type {props.simpleString()}. It must be a map<string,string>")
+        raise ValueError(f"__messageProperties is {props.simpleString()}; it has to be map<string,string>")
     values = [n for n in kinds if n not in META_NAMES]
     if not values:
         raise ValueError("the sink needs at least one value column")

@@ -15,7 +15,7 @@ from tidewater.operators import topics
 from tidewater.sources.parquet_log import log_frame
 from tidewater.sources.places import shared_folder
 from tidewater.sources.topic_log import TopicLog
-from tidewater.streaming.queries import stream, until_done
+from tidewater.streaming.queries import deduplicated, stream, until_done
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,55 @@ def stored_log_scan(spark, sf_dir):
     written(spark, outgoing(spark, sf_dir), url)
     df = topics.select_topics(log_frame(spark, url), pattern="(?:view|click)")
     return df.groupBy(F.col("__topic").alias("topic")).agg(F.count("*").alias("n"), F.count_distinct("__key").alias("keys"), F.max(F.unix_micros("__eventTime")).alias("last_us"))
+
+
+#: A value of each primitive type from an event, in Spark's words and in DuckDB's.
+_PRIMITIVES = {
+    "boolean": ("event_id % 3 = 0", "event_id % 3 = 0"),
+    "tinyint": ("cast(user_id % 100 - 50 as tinyint)", "user_id % 100 - 50"),
+    "smallint": ("cast(event_id % 30000 - 15000 as smallint)", "event_id % 30000 - 15000"),
+    "int": ("cast(-user_id * 1000 as int)", "-user_id * 1000"),
+    "bigint": ("event_id * -1000000007", "event_id * -1000000007"),
+    "string": ("concat('é', props)", "'é' || props"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{kind}' AS kind, CAST({sql} AS VARCHAR) AS v FROM events" for kind, (_, sql) in _PRIMITIVES.items()))
+def primitive_roundtrip(spark, sf_dir):
+    """Topics of one primitive value each, written and read back."""
+    df, out = spark.read.parquet(f"{sf_dir}/events.parquet"), None
+    spark.dataSource.register(TopicLog)
+    for kind, (sql, _) in _PRIMITIVES.items():
+        url = shared_folder(spark, f"topic-log-{kind}")
+        df.selectExpr(f"{sql} as value").write.format("tidewater").options(**{"service.url": url, "topic": kind}).mode("append").save()
+        one = spark.read.format("tidewater").options(**{"service.url": url, "topic": kind}).load().select(F.lit(kind).alias("kind"), F.col("value").cast("string").alias("v"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1")
+def stream_update_counts(spark, sf_dir):
+    """Running counts in update mode, by batches of bounded bytes, appended by foreachBatch; the last of each key."""
+    url, out = shared_folder(spark, "topic-log"), shared_folder(spark, "updates")
+    df = outgoing(spark, sf_dir).filter("event_type = 'view'")
+    for part in (0, 1):
+        written(spark, df.filter(F.col("event_id") % 2 == part), url)
+        counts = stream(spark, **{"service.url": url, "topic": "view", "startingoffsets": "earliest"}).groupBy(F.decode("__key", "UTF-8").alias("key")).agg(F.count("*").alias("n"))
+        until_done(counts.writeStream.outputMode("update").foreachBatch(lambda rows, _: rows.write.mode("append").parquet(f"{out}/rows")).option("checkpointLocation", f"{out}/checkpoint").start())
+    return spark.read.parquet(f"{out}/rows").groupBy("key").agg(F.max("n").alias("n"))
+
+
+@query("SELECT CAST(a.user_id AS VARCHAR) AS key, count(*) AS n FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'view' AND a.event_id % 8 = b.event_id % 8 GROUP BY 1")
+def stream_self_join(spark, sf_dir):
+    """A stream joined with itself by user and a part of the id, then counted; repeated messages are dropped within the watermark."""
+    url, out = shared_folder(spark, "topic-log"), shared_folder(spark, "joined")
+    written(spark, outgoing(spark, sf_dir).filter("event_type = 'view'"), url)
+
+    def side(x: str) -> DataFrame:
+        df = stream(spark, **{"service.url": url, "topic": "view", "startingoffsets": "earliest"})
+        return deduplicated(df, "1 hour", "event_id").select(F.struct(F.decode("__key", "UTF-8").alias("key"), (F.col("event_id") % 8).alias("part")).alias(f"k{x}"), F.col("__publishTime").alias(f"at{x}"))
+
+    a, b = side("a"), side("b")
+    both = a.join(b, F.col("ka") == F.col("kb")).select(F.col("ka.key").alias("key"))
+    until_done(both.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").start())
+    return spark.read.parquet(f"{out}/rows").groupBy("key").agg(F.count("*").alias("n"))

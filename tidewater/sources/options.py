@@ -15,7 +15,7 @@ EARLIEST, LATEST = "earliest", "latest"
 PASSED = {
     "client": {"authparams", "authplugin", "iothreads", "timeoutms"},
     "admin": {"authparams", "authplugin", "url", "timeoutms"},
-    "reader": {"batchrows", "receiverqueuesize"},
+    "reader": {"batchrows"},
     "producer": {"batchsize", "compression", "entriesperledger"},
 }
 SECRET = {"authparams"}
@@ -58,7 +58,7 @@ def passed_on(options: Mapping[str, str]) -> dict[str, dict[str, str]]:
         prefix, dot, key = name.partition(".")
         if dot and prefix in PASSED and name != "admin.url":
             if key not in PASSED[prefix]:
-                raise ValueError(f"{name} not supported by the topic log")
+                raise ValueError(f"{name} is no option of the topic log")
             out[prefix][key] = value
     return out
 
@@ -75,7 +75,7 @@ def masked(options: Mapping[str, str]) -> dict[str, str]:
 def bound(options: Mapping[str, str], offsets_key: str, time_key: str, default: str) -> Where:
     given, time = options.get(offsets_key), options.get(time_key)
     if given is not None and time is not None:
-        raise ValueError(f"You can only specify {offsets_key} through either offsets or {time_key}, not both.")
+        raise ValueError(f"{offsets_key} and {time_key} exclude each other")
     if given is not None:
         given = given.strip()
         return Where(given.lower()) if given.lower() in (EARLIEST, LATEST) else Where("positions", from_json(given))
@@ -87,7 +87,7 @@ def bound(options: Mapping[str, str], offsets_key: str, time_key: str, default:
     try:
         return Where("time", int(time))
     except ValueError as e:
-        raise ValueError(f"{offsets_key} time {time} cannot be converted to Long") from e
+        raise ValueError(f"{time_key} is no whole number of milliseconds: {time}") from e
 
 
 def _flag(options: Mapping[str, str], name: str, default: bool = False) -> bool:
@@ -97,35 +97,35 @@ def _flag(options: Mapping[str, str], name: str, default: bool = False) -> bool:
 def _topic_option(options: Mapping[str, str]) -> tuple[str, str]:
     given = [(k, options[k]) for k in TOPICS if k in options]
     if len(given) != 1:
-        raise ValueError(f"You should specify topic(s) using one of the topic options: {', '.join(TOPICS)}")
+        raise ValueError(f"exactly one of {', '.join(TOPICS)} has to be given")
     key, value = given[0]
     if key == "topic" and "," in value:
-        raise ValueError('Use "topics" instead of "topic" for multi topic read')
+        raise ValueError("topic names one topic; topics takes a list")
     if key == "topic" and not value.strip():
-        raise ValueError("No topic is specified")
+        raise ValueError("topic is empty")
     if key == "topics" and not [t for t in value.split(",") if t.strip()]:
-        raise ValueError(f"No topics is specified for read with option: {value}")
+        raise ValueError(f"the list of topics is empty: {value!r}")
     if key == "topicspattern" and not value.strip():
-        raise ValueError("TopicsPattern is empty")
+        raise ValueError("topicspattern is empty")
     return key, value
 
 
 def read_options(options: Mapping[str, str], streaming: bool) -> ReadOptions:
     o = lowered(options)
     if streaming and END in o:
-        raise ValueError("ending offset not valid in streaming queries")
+        raise ValueError("a stream has no end; endingoffsets is for batch reads")
     start, end = bound(o, START, START_TIME, LATEST if streaming else EARLIEST), bound(o, END, END_TIME, LATEST)
     if not streaming:
         if start.kind == LATEST:
-            raise ValueError("starting offset can't be latest for batch queries")
+            raise ValueError("a batch read can't start at latest")
         if end.kind == EARLIEST:
-            raise ValueError("ending offset can't be earliest for batch queries")
+            raise ValueError("a batch read can't end at earliest")
     if URL not in o:
-        raise ValueError(f"{URL} must be specified")
+        raise ValueError(f"{URL} is missing")
     topic = _topic_option(o)
     max_bytes = int(o.get("maxbytespertrigger", "0"))
     if max_bytes and "admin.url" not in o:
-        raise ValueError("admin.url must be specified if maxBytesPerTrigger is specified")
+        raise ValueError("maxbytespertrigger needs admin.url")
     named = o.get("predefinedsubscription")
     return ReadOptions(
         o[URL], topic, start, end, _flag(o, "failondataloss"), max_bytes, int(o.get("polltimeoutms", "120000")),
@@ -137,10 +137,10 @@ def sink_options(options: Mapping[str, str]) -> tuple[str, str | None, dict[str,
     """The log's place, the topic if one is given, and options passed on."""
     o = lowered(options)
     if URL not in o:
-        raise ValueError(f"{URL} must be specified")
+        raise ValueError(f"{URL} is missing")
     if "topics" in o or "topicspattern" in o:
-        raise ValueError("Currently, we only support specify single topic through option, use 'topic' to specify it.")
+        raise ValueError("a sink takes topic, not topics or topicspattern")
     topic = o.get("topic")
     if topic is not None and not topic.strip():
-        raise ValueError("No topic is specified")
+        raise ValueError("topic is empty")
     return o[URL], topic, passed_on(o)

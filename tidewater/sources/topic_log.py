@@ -3,7 +3,8 @@
     spark.dataSource.register(TopicLog)
     spark.read.format("tidewater").options(**{"service.url": url, "topicsPattern": "orders.*"}).load()
 
-One Spark partition reads one topic-partition's range.  Offsets say what has been read: a start is exclusive by entry,
+A topic-partition's range is read in parts of whole ledgers, a Spark partition each, and written in ledgers of bounded size.
+Messages that should follow each other and don't are reported as lost.  Offsets say what has been read: a start is exclusive by entry,
 an end inclusive.  A user's position or time is turned into the place before the entry it names, so that it is read.
 """
 
@@ -14,6 +15,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import types as T
@@ -28,6 +30,8 @@ from tidewater.sources.log_store import BEFORE_ALL, LogStore, Position
 from tidewater.sources.options import EARLIEST, LATEST, ReadOptions, Where, read_options, sink_options
 
 TIME_EARLIEST, TIME_LATEST = -1, -2
+#: How much of one topic's messages, and of all, a writing task holds before it writes a ledger.
+LEDGER_BYTES, TASK_BYTES = 32 << 20, 128 << 20
 
 
 class Range(InputPartition):
@@ -72,7 +76,34 @@ def message_id(ledger: int, entry: int, part: int, index: int, size: int) -> byt
     return struct.pack(">5q", ledger, entry, part, index, size)
 
 
-def rows_of(store: LogStore, part: Range | None, schema: dict | None, kind: T.StructType) -> Iterator[pa.RecordBatch]:
+class Follow:
+    """Sees whether a ledger's messages start, go on and end as they should."""
+
+    def __init__(self, topic: str, fail: bool):
+        self.topic, self.fail, self.ledger, self.high = topic, fail, None, -1
+        self.last = (-1, 0, 1)
+
+    def end(self) -> None:
+        if self.ledger is not None and (self.last[0] < self.high or self.last[1] != self.last[2] - 1):
+            loss.report(f"ledger {self.ledger} of {self.topic} ends at {self.last[:2]}, before entry {self.high}", self.fail)
+
+    def see(self, ledger: int, first: int, high: int, batch: pa.RecordBatch) -> None:
+        if ledger != self.ledger:
+            self.end()
+            self.ledger, self.high, self.last = ledger, high, (first - 1, 0, 1)
+        if not batch.num_rows:
+            return
+        entry, index, size = (np.concatenate([[x], batch.column(c).to_numpy()]) for x, c in zip(self.last, ("entry", "batch_index", "batch_size"), strict=True))
+        inside = (entry[1:] == entry[:-1]) & (index[1:] == index[:-1] + 1)
+        after = (entry[1:] == entry[:-1] + 1) & (index[1:] == 0) & (index[:-1] == size[:-1] - 1)
+        wrong = np.flatnonzero(~(inside | after))
+        if len(wrong):
+            w = wrong[0]
+            loss.report(f"in ledger {ledger} of {self.topic}, ({entry[w + 1]}, {index[w + 1]}) comes after ({entry[w]}, {index[w]})", self.fail)
+        self.last = (int(entry[-1]), int(index[-1]), int(size[-1]))
+
+
+def rows_of(store: LogStore, part: Range | None, schema: dict | None, kind: T.StructType, options: ReadOptions) -> Iterator[pa.RecordBatch]:
     """Batches of a range's messages, decoded; none without a range, which is what Spark passes if there are no partitions."""
     if part is None:
         return
@@ -80,7 +111,9 @@ def rows_of(store: LogStore, part: Range | None, schema: dict | None, kind: T.St
     arrow = to_arrow_schema(kind)
     _, _, number = part.topic.rpartition(log_store.PARTITION)
     partition = int(number) if number.isdigit() and log_store.PARTITION in part.topic else -1
-    for ledger, batch in store.read(part.topic, part.after, part.upto):
+    follow = Follow(part.topic, options.fail_on_data_loss)
+    for ledger, first, high, batch in store.read(part.topic, part.after, part.upto, int(options.passed.get("reader", {}).get("batchrows", "4096"))):
+        follow.see(ledger, first, high, batch)
         out = []
         for m in batch.to_pylist():
             row = get(m["payload"])
@@ -91,13 +124,14 @@ def rows_of(store: LogStore, part: Range | None, schema: dict | None, kind: T.St
             out.append(row)
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
+    follow.end()
 
 
 class BatchReader(DataSourceReader):
     def __init__(self, options: ReadOptions, kind: T.StructType):
         self.options, self.kind, self.only = options, kind, None
         store = LogStore(options.url)
-        topics = store.select(options.topic_option, options.wait_for_topic)
+        topics = store.select(options.topic_option, options.wait_for_topic, options.poll_timeout_ms / 1000)
         check_known(options.start, topics)
         check_known(options.end, topics)
         self.schema = schemas.common_schema([store.schema(t) for t in topics], options.allow_different_schemas)
@@ -112,11 +146,11 @@ class BatchReader(DataSourceReader):
             if r.upto[:2] < (r.after[0], r.after[1]):
                 loss.report(f"the end {r.upto} of {r.topic} is before its start {r.after}", self.options.fail_on_data_loss)
                 continue
-            out.append(r)
+            out += [Range(r.topic, *x) for x in LogStore(self.options.url).spread(r.topic, r.after, r.upto)]
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        yield from rows_of(LogStore(self.options.url), partition, self.schema, self.kind)
+        yield from rows_of(LogStore(self.options.url), partition, self.schema, self.kind, self.options)
 
 
 class FilteringReader(BatchReader):
@@ -138,7 +172,7 @@ class StreamReader(DataSourceStreamReader):
     def __init__(self, options: ReadOptions, kind: T.StructType):
         self.options, self.kind = options, kind
         self.store = LogStore(options.url)
-        topics = self.store.select(options.topic_option, options.wait_for_topic)
+        topics = self.store.select(options.topic_option, options.wait_for_topic, options.poll_timeout_ms / 1000)
         check_known(options.start, topics)
         self.schema = schemas.common_schema([self.store.schema(t) for t in topics], options.allow_different_schemas)
         self.at: dict[str, Position] | None = None
@@ -162,9 +196,9 @@ class StreamReader(DataSourceStreamReader):
         for t in topics:
             now = self.at.get(t, BEFORE_ALL)
             last = self.store.latest(t)
-            if last < now:
+            if last < now or 0 <= now[0] < self.store.born(t):
                 # Another topic of that name: read on from its beginning.
-                loss.report(f"{t} ends at {last}, before {now}, which was read", self.options.fail_on_data_loss)
+                loss.report(f"{t} isn't the topic in which {now} was read; it ends at {last}", self.options.fail_on_data_loss)
                 now = BEFORE_ALL
             new[t] = min(last, self.store.admitted(t, now, share)) if limit else last
         # A topic-partition that is gone stays where it was, so that partitions() sees it end.
@@ -183,15 +217,16 @@ class StreamReader(DataSourceStreamReader):
                 continue
             latest = self.store.latest(topic)
             self.known[topic] = latest
-            if latest < after or latest < upto:
-                loss.report(f"{topic} ends at {latest}, before {after} or {upto}", self.options.fail_on_data_loss)
-                after = BEFORE_ALL if latest < after else after
+            other = 0 <= after[0] < self.store.born(topic)
+            if latest < after or latest < upto or other:
+                loss.report(f"{topic} ends at {latest} and begins with ledger {self.store.born(topic)}; {after} to {upto} was to be read", self.options.fail_on_data_loss)
+                after = BEFORE_ALL if latest < after or other else after
             if upto[:2] > after[:2]:
-                out.append(Range(topic, after, upto))
+                out += [Range(topic, *x) for x in self.store.spread(topic, after, upto)]
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        yield from rows_of(LogStore(self.options.url), partition, self.schema, self.kind)
+        yield from rows_of(LogStore(self.options.url), partition, self.schema, self.kind, self.options)
 
     def commit(self, end: dict) -> None:
         self.store.put_cursor(self.cursor, end)
@@ -212,6 +247,8 @@ class Task:
     def setup(self, options: dict[str, str], kind: T.StructType) -> None:
         self.url, self.topic, passed = sink_options(options)
         self.batch = int(passed["producer"].get("batchsize", "4"))
+        self.most = self.batch * int(passed["producer"].get("entriesperledger", "12500"))
+        self.compression = passed["producer"].get("compression", "snappy")
         values = sink.check(kind, self.topic)
         self.kind, self.names = kind, values
         self.topic_schema = schemas.topic_schema(T.StructType([kind[n] for n in values]))
@@ -221,24 +258,37 @@ class Task:
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
         store, put, now = LogStore(self.url), payloads.writer(self.topic_schema), dt.datetime.now(dt.UTC)
         rows: dict[str, list[dict]] = {}
+        held: dict[str, int] = {}
+        files: list[dict] = []
+        task = TaskContext.get()
+
+        def flush(topic: str) -> None:
+            own = rows.pop(topic)
+            held.pop(topic)
+            for i, m in enumerate(own):
+                size = min(self.batch, len(own) - i // self.batch * self.batch)
+                m |= {"entry": i // self.batch, "batch_index": i % self.batch, "batch_size": size}
+            part = f"{task.partitionId():06d}-{task.taskAttemptId()}-{len(files):06d}"
+            files.append(store.stage(self.job, topic, part, pa.Table.from_pylist(own, schema=log_store.SCHEMA), self.compression))
+
         for batch in iterator:
             for r in batch.to_pylist():
                 topic = self.topic or r.get("__topic")
                 if topic is None:
-                    raise ValueError("null topic present in the data. Use the topic option for setting a topic.")
+                    raise ValueError("a row has no topic: its __topic is null and the sink names none")
                 key, at = r.get("__key"), r.get("__eventTime")
                 if at is not None and self.millis:
                     at = avro.EPOCH + dt.timedelta(milliseconds=at)
-                own = rows.setdefault(log_store.full_name(topic), [])
-                own.append({"key": key.encode() if isinstance(key, str) else key, "publish_time": now, "event_time": at if at is not None and (at if at.tzinfo else at.replace(tzinfo=dt.UTC)) > avro.EPOCH else None, "properties": r.get("__messageProperties"), "payload": put({n: r[n] for n in self.names})})
-        files = []
-        task = TaskContext.get()
-        for topic, own in rows.items():
-            for i, m in enumerate(own):
-                size = min(self.batch, len(own) - i // self.batch * self.batch)
-                m |= {"entry": i // self.batch, "batch_index": i % self.batch, "batch_size": size}
-            part = f"{task.partitionId():06d}-{task.taskAttemptId()}-{len(files)}"
-            files.append(store.stage(self.job, topic, part, pa.Table.from_pylist(own, schema=log_store.SCHEMA)))
+                topic, data = log_store.full_name(topic), put({n: r[n] for n in self.names})
+                own = rows.setdefault(topic, [])
+                own.append({"key": key.encode() if isinstance(key, str) else key, "publish_time": now, "event_time": at if at is not None and (at if at.tzinfo else at.replace(tzinfo=dt.UTC)) > avro.EPOCH else None, "properties": r.get("__messageProperties"), "payload": data})
+                held[topic] = held.get(topic, 0) + len(data or b"") + 200
+                if len(own) >= self.most or held[topic] > LEDGER_BYTES:
+                    flush(topic)
+                elif len(held) > 4 and sum(held.values()) > TASK_BYTES:
+                    flush(max(held, key=held.get))
+        for topic in list(rows):
+            flush(topic)
         return Staged(files)
 
     def finish(self, messages: list[Staged | None], write: str) -> None:
@@ -286,7 +336,7 @@ class TopicLog(DataSource):
         bounds = {"startingoffsets", "endingoffsets", "startingtime", "endingtime"}
         options = read_options({k: v for k, v in self.options.items() if k.lower() not in bounds}, streaming=False)
         store = LogStore(options.url)
-        topics = store.select(options.topic_option, options.wait_for_topic)
+        topics = store.select(options.topic_option, options.wait_for_topic, options.poll_timeout_ms / 1000)
         return schemas.read_schema(schemas.common_schema([store.schema(t) for t in topics], options.allow_different_schemas))
 
     def _inferred(self, options: ReadOptions, given: T.StructType) -> None:
