@@ -11,7 +11,8 @@ triples at the index hash(shingle, d), so a sample is a table look-up; equal poo
 
 Candidates.  Samples are banded; texts that share a band are a bucket.  A bucket first compares its members with two of
 them, the one that shares most bands with others and the one of least key, so that large groups of copies become one
-component by work that is linear in the bucket.  Buckets that then still hold several components are finished exactly:
+component by work that is linear in the bucket.  For up to ``TURNS`` turns, members that stand for the components left in a bucket
+are then compared with one that stands for the largest, linear as well.  Buckets that then still hold several components are finished exactly:
 their texts are joined on prefixes of shingles, rarest first (:func:`unmet`), which loses no pair of ``SIMILARITY``, and
 pairs within a component, which could change nothing, aren't made.
 
@@ -49,6 +50,7 @@ POOL = 1 << 16
 SLOT_BITS = 19
 LEVELS = 4  # weights are 2 ** (level / LEVELS)
 SEED = 7
+TURNS = 3
 
 
 @lru_cache(256)
@@ -176,6 +178,34 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return max(float((np.minimum(x, y) * w).sum() / (np.maximum(x, y) * w).sum()) for w in (np.ones(len(every)), idf))
 
 
+def labelled(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, band, h and component of the members of buckets of more than two."""
+    of = shared.filter("n > 2").select("node", "band", "h").join(classes.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
+    return scratch.written(of.select("node", "band", "h", F.coalesce("component", "node").alias("component")), "labelled")
+
+
+def regrouped(shared: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+    """Pairs a, b of members of different components of a bucket: one of each component with one of the bucket's.
+
+    Who stands for a component changes with ``turn``.  There are no more pairs than components in buckets.
+    """
+    own = labelled(shared, classes).groupBy("band", "h", "component").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("x"), F.count("*").alias("size"))
+    lead = own.groupBy("band", "h").agg(F.max(F.struct("size", "component", "x")).alias("l"), F.count("*").alias("k")).filter("k > 1").select(F.col("band").alias("b2"), F.col("h").alias("h2"), "l")
+    both = own.join(scratch.written(lead, "turn-leaders"), (F.col("band") == F.col("b2")) & (F.col("h") == F.col("h2"))).filter("component != l.component")
+    return both.select(F.least("x", "l.x").alias("a"), F.greatest("x", "l.x").alias("b")).distinct()
+
+
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``classes`` joined by more links."""
+    def at(rows: DataFrame, c: str) -> DataFrame:
+        named = rows.join(classes.select(F.col("node").alias("m"), "component"), F.col(c) == F.col("m"), "left")
+        return named.withColumn(c, F.coalesce("component", c)).drop("m", "component")
+
+    up = components(at(at(links.select("a", "b"), "a"), "b").filter("a != b")).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    nodes = classes.select("node", "component").union(up.select("old", "old")).dropDuplicates(["node"])
+    return scratch.written(nodes.join(up, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component")), "classes")
+
+
 def unmet(sets: DataFrame, shared: DataFrame, classes: DataFrame, common: Broadcast, similarity: float) -> DataFrame:
     """Pairs a, b of texts that may be similar and that leaders left in different components, from buckets of several.
 
@@ -185,8 +215,7 @@ def unmet(sets: DataFrame, shared: DataFrame, classes: DataFrame, common: Broadc
     neither's short one.  This holds by TF-IDF and by counts, as the order is one.
     """
     share, slack = similarity / (1 + similarity), 1 - 1e-9
-    of = shared.filter("n > 2").select("node", "band", "h").join(classes.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
-    of = scratch.written(of.select("node", "band", "h", F.coalesce("component", "node").alias("component")), "labelled")
+    of = labelled(shared, classes)
     several = of.groupBy("band", "h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select(F.col("band").alias("b2"), F.col("h").alias("h2"))
     several = scratch.written(several, "several")
     left = scratch.written(of.join(several, (F.col("band") == F.col("b2")) & (F.col("h") == F.col("h2"))).select("node", "component").distinct(), "left")
@@ -219,11 +248,15 @@ def unmet(sets: DataFrame, shared: DataFrame, classes: DataFrame, common: Broadc
         return F.least(f"rest_{k}_a", f"rest_{k}_b") >= slack * share * (F.col(f"all_{k}_a") + F.col(f"all_{k}_b"))
 
     light, every = side("a", prefix.filter("light")), side("b", prefix)
-    # Components meet at a shingle first, so that the many texts of one never meet each other.
-    most = {x: rows.groupBy(f"s_{x}", f"component_{x}").agg(*[f(f"{c}_{x}").alias(f"{c}_{x}") for c, f in (("all_n", F.min), ("all_w", F.min), ("rest_n", F.max), ("rest_w", F.max))]) for x, rows in (("a", light), ("b", every))}
-    meet = most["a"].join(most["b"], (F.col("s_a") == F.col("s_b")) & (F.col("component_a") != F.col("component_b")) & (enough("n") | enough("w")))
-    meet = scratch.written(meet.select(F.col("s_a").alias("s"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb")), "meetings")
-    both = meet.join(light, (F.col("s") == F.col("s_a")) & (F.col("ca") == F.col("component_a")))
+    # Components meet at a shingle first, so that the many texts of one never meet each other; a text then meets another
+    # component only if it may be similar to one of its texts.
+    bounds = (("all_n", F.min), ("all_w", F.min), ("rest_n", F.max), ("rest_w", F.max))
+    most = {x: rows.groupBy(f"s_{x}", f"component_{x}").agg(*[f(f"{c}_{x}").alias(f"{c}_{x}") for c, f in bounds], *[F.max(f"all_{k}_{x}").alias(f"most_{k}_{x}") for k in "nw"]) for x, rows in (("a", light), ("b", every))}
+    met = most["a"].join(most["b"], (F.col("s_a") == F.col("s_b")) & (F.col("component_a") != F.col("component_b")) & (enough("n") | enough("w")))
+    columns = [F.col(f"{c}_b").alias(f"b_{c}") for c in ("all_n", "all_w", "rest_n", "rest_w", "most_n", "most_w")]
+    meet = scratch.written(met.select(F.col("s_a").alias("s"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb"), *columns), "meetings")
+    able = [(F.least(f"rest_{k}_a", f"b_rest_{k}") >= slack * share * (F.col(f"all_{k}_a") + F.col(f"b_all_{k}"))) & (F.col(f"all_{k}_a") <= F.col(f"b_most_{k}")) for k in "nw"]
+    both = meet.join(light, (F.col("s") == F.col("s_a")) & (F.col("ca") == F.col("component_a")) & (able[0] | able[1]))
     good = [enough(k) & (F.col(f"all_{k}_a") <= F.col(f"all_{k}_b")) for k in "nw"]
     both = both.join(every, (F.col("s") == F.col("s_b")) & (F.col("cb") == F.col("component_b")) & (good[0] | good[1]))
     return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
@@ -292,9 +325,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     links = linked(pairs)
     classes = components(links)
+    for turn in range(TURNS):
+        met = scratch.written(regrouped(shared, classes, turn), "met").join(pairs, ["a", "b"], "left_anti")
+        more = linked(met)
+        if not more.limit(1).count():
+            break
+        classes = merged(classes, more)
     more = linked(scratch.written(unmet(sets, shared, classes, common, similarity).join(pairs, ["a", "b"], "left_anti"), "unmet"))
     if more.limit(1).count():
-        classes = components(links.union(more))
+        classes = merged(classes, more)
     named = nodes.select("node", "least").join(classes.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
     named = named.select("node", "least", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min("least").alias("class_id"), F.min(F.struct(F.col("least").isNull(), "least", "node"))["node"].alias("keeper"))
