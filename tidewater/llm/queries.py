@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import contamination, linechunks, linehash, mixing, near, quality, revisits, scratch, substrings, tokenstore, wrapper
+from tidewater.llm import chat, contamination, linechunks, linehash, manifest, mixing, near, quality, repair, revisits, scratch, substrings, tokenstore, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -103,3 +103,34 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_line_chunks"] = linechunks.ORACLE
+
+
+#: A conversation whose texts are control strings of the template.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op11_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all conversations, and one of control strings, as prefix trees of token ids, and reads them back."""
+    tokenizer, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    path = scratch.folder(spark, "chat-trees", keep=True)
+    chat.write(rows, path, tokenizer, pattern)
+    return chat.digests(chat.read(spark, path, tokenizer, pattern))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and what the proof says of a copy in which some rows are changed."""
+    return manifest.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_merkle_manifest"] = manifest.ORACLE
+
+
+@query
+def op13_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the digest of the repaired turns of every conversation, after known damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.digests(repair.repair(repair.damaged(rows), rows))
