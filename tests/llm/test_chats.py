@@ -283,3 +283,8 @@ def test_manifest_query(spark, sf_dir, empty):
 
 def test_own_proofs_verify(odd):
     assert all(r.folded_root == r.root == manifest.folded(r.leaf, r.proof) for r in manifest.proofs(odd, levels=2, top=2).collect())
+
+
+@pytest.mark.parametrize("name", ["op11_chat_tree", "op13_repair_turns"])
+def test_conversation_queries_say_what_their_sql_says(spark, sf_dir, name):
+    same(queries.QUERIES[name](spark, sf_dir), duck(sf_dir), queries.ORACLE[name])

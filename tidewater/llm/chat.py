@@ -227,3 +227,19 @@ def digests(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([row()], schema)
 
     return turns.mapInArrow(run, DIGESTS)
+
+
+def oracle(control: str) -> str:
+    """The SQL of digests() of the table with a conversation -1 of two turns that say ``control``: what reading back has to give."""
+    escapes = "len(regexp_extract_all({0}, '<\\\\*\\|'))"
+    said = "replace(replace(role, '\\', '\\\\'), chr(10), '\\n')"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{control}'), (-1, 1, 'assistant', '{control}'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({said}) + {escapes.format(said)} + length(text) + {escapes.format("text")} + {len(START) + 1 + len(END)}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

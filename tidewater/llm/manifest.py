@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch
+from tidewater.llm.oracles import crc32
 from tidewater.llm.places import placed
 from tidewater.llm.text import only
 
@@ -172,11 +173,6 @@ def digests(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-#: Bits of the decimal id, lowest first in each byte, through the CRC's shift register.
-_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
-  lambda b: list_transform(range(8), lambda k: ((ascii(b) >> k) & 1)::BIGINT)))), lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
-
-
 def _leaf(n_chars: str) -> str:
     parts = [f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
     return f"sha256({' || '.join(parts)})"
@@ -185,7 +181,7 @@ def _leaf(n_chars: str) -> str:
 ORACLE = f"""
 WITH RECURSIVE leaves AS (
   SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
-    CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claim FROM documents),
+    CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claim FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
 low AS (
   SELECT tree, 0 AS lv, i, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM ranked

@@ -120,6 +120,9 @@ def op11_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read(spark, path, tokenizer, pattern))
 
 
+ORACLE["op11_chat_tree"] = chat.oracle(CONTROL)
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, roots and proof, and what the proof says of a copy in which some rows are changed."""
@@ -134,3 +137,6 @@ def op13_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and the digest of the repaired turns of every conversation, after known damage."""
     rows = table(spark, sf_dir, "conversations")
     return repair.digests(repair.repair(repair.damaged(rows), rows))
+
+
+ORACLE["op13_repair_turns"] = repair.ORACLE

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import earley, scratch
+from tidewater.llm.oracles import crc32
 from tidewater.llm.text import only
 
 SPACE = " \t\n\x0b\f\r"
@@ -223,3 +224,54 @@ def digests(out: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([head | {"repaired_sha256": h.hexdigest()}], schema)
 
     return out.mapInArrow(run, REPORT + ", repaired_sha256 string")
+
+
+#: The same by dynamic programming over turns and the state of the roles (n: none, s, u, a), the cheapest audit of each state
+#: kept; between turns, up to two insertions lead from every state to every other.
+ORACLE = f"""
+WITH RECURSIVE broken AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault FROM conversations),
+kept AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM broken, range(2) c(copy) WHERE fault <> 0 AND (copy = 0 OR fault = 3)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS p FROM kept),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS before,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM numbered),
+turns AS (
+  SELECT *, said = '' AS blank, said <> '' AND again AS duplicate, said <> '' AND NOT again AND said[-1] NOT IN ('.', '!', '?') AS truncated,
+    p > 1 AND (coalesce(nullif(before[1], ''), ' ') || coalesce(nullif(role[1], ''), ' ')) NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
+steps(state, onto, letter, cost, takes) AS (
+  SELECT * FROM (VALUES ('n', 'n', 'D', 4, NULL), ('s', 's', 'D', 4, NULL), ('u', 'u', 'D', 4, NULL), ('a', 'a', 'D', 4, NULL),
+    ('n', 'u', 'R', 3, NULL), ('s', 'u', 'R', 3, NULL), ('a', 'u', 'R', 3, NULL), ('u', 'a', 'R', 3, NULL),
+    ('n', 's', 'K', 0, 's'), ('n', 'u', 'K', 0, 'u'), ('s', 'u', 'K', 0, 'u'), ('a', 'u', 'K', 0, 'u'), ('u', 'a', 'K', 0, 'a'))),
+inserts(state, onto, letters, cost) AS (
+  SELECT * FROM (VALUES ('n', 'n', '', 0), ('s', 's', '', 0), ('u', 'u', '', 0), ('a', 'a', '', 0),
+    ('n', 'u', 'I', 3), ('s', 'u', 'I', 3), ('a', 'u', 'I', 3), ('u', 'a', 'I', 3), ('n', 'a', 'II', 6), ('s', 'a', 'II', 6))),
+chart AS (
+  SELECT conv_id, 0::BIGINT AS p, i.onto AS state, {{'cost': i.cost::BIGINT, 'audit': i.letters}} AS best
+  FROM (SELECT DISTINCT conv_id FROM turns), inserts i WHERE i.state = 'n'
+  UNION ALL
+  SELECT c.conv_id, t.p, i.onto,
+    min({{'cost': (c.best.cost + s.cost + i.cost + CASE WHEN t.truncated AND s.letter <> 'D' THEN 3 ELSE 0 END)::BIGINT, 'audit': c.best.audit || s.letter || i.letters}})
+  FROM chart c JOIN turns t ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND t.p = c.p + 1
+  JOIN steps s ON s.state = c.state AND (s.takes IS NULL OR s.takes = t.role[1]) AND (s.letter = 'D' OR NOT (t.blank OR t.duplicate))
+  JOIN inserts i ON i.state = s.onto GROUP BY c.conv_id, t.p, i.onto),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+    count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal FROM turns GROUP BY conv_id),
+parsed AS (SELECT k.conv_id, min(c.best) AS best FROM counts k JOIN chart c ON c.conv_id IS NOT DISTINCT FROM k.conv_id AND c.p = k.n WHERE c.state IN ('n', 'a') GROUP BY k.conv_id),
+edits AS (SELECT conv_id, i, best.audit[i] AS e, length(replace(best.audit[:i], 'I', '')) AS p FROM parsed, LATERAL (SELECT unnest(range(1, length(best.audit) + 1)) AS i)),
+outs AS (
+  SELECT e.conv_id, e.i, e.e, t.role, CASE WHEN e.e = 'I' THEN '' ELSE t.text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY e.i) AS o,
+    first_value(e.e = 'K' AND t.role[1] = 's') OVER (PARTITION BY e.conv_id ORDER BY e.i) AS led
+  FROM edits e LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.p = e.p WHERE e.e <> 'D'),
+fixed AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS body FROM outs GROUP BY conv_id)
+SELECT a.conv_id, coalesce(k.gaps, 0) AS gaps, coalesce(k.blank, 0) AS blank, coalesce(k.duplicate, 0) AS duplicate, coalesce(k.truncated, 0) AS truncated, coalesce(k.illegal, 0) AS illegal,
+  coalesce(d.best.cost, 0) AS cost, coalesce(d.best.audit, '') AS audit, sha256(coalesce(f.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts k ON a.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN parsed d ON a.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN fixed f ON a.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
