@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import topics
-from tidewater.plans import io_queries, log_queries
+from tidewater.plans import io_queries, log_queries, record_queries, stream_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = log_queries.QUERIES | io_queries.QUERIES
-ORACLE: dict[str, str] = log_queries.ORACLE | io_queries.ORACLE
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = log_queries.QUERIES | io_queries.QUERIES | stream_queries.QUERIES | record_queries.QUERIES
+ORACLE: dict[str, str] = log_queries.ORACLE | io_queries.ORACLE | stream_queries.ORACLE | record_queries.ORACLE
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

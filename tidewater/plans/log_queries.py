@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions import envelope, json_payload
+from tidewater.functions import envelope, json_records
 from tidewater.operators import admission, loss, offsets, sink, topics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,14 +218,14 @@ def source_metrics(spark, sf_dir):
 @query("SELECT event_id, CAST(k AS BIGINT) AS k FROM log")
 def json_decode(spark, sf_dir):
     schema = T.StructType([T.StructField("k", T.LongType())])
-    return json_payload.flattened(log(spark, sf_dir), "props", schema, ["event_id"])
+    return json_records.flattened(log(spark, sf_dir), "props", schema, ["event_id"])
 
 
 @query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(k AS BIGINT) END AS k, event_id % 7 = 0 AS malformed FROM log")
 def json_malformed(spark, sf_dir):
     schema = T.StructType([T.StructField("k", T.LongType())])
     df = log(spark, sf_dir).withColumn("body", F.when(F.col("event_id") % 7 == 0, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props")))
-    return df.select("event_id", json_payload.decode(F.col("body"), schema)["k"].alias("k"), json_payload.flagged(F.col("body"), schema).alias("malformed"))
+    return df.select("event_id", json_records.decode(F.col("body"), schema).alias("d")).select("event_id", F.col("d.record.k").alias("k"), F.col("d.malformed").alias("malformed"))
 
 
 @query("SELECT CASE WHEN event_id % 3 = 0 THEN 'audit' ELSE event_type END AS topic, count(*) AS n, min(event_id) AS first_id FROM log GROUP BY 1")

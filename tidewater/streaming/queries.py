@@ -27,11 +27,6 @@ def deduplicated(messages: DataFrame, watermark: str, *keys: str) -> DataFrame:
     return messages.withWatermark("__publishTime", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def joined_by(a: DataFrame, b: DataFrame, key: Column, other: Column, watermark: str) -> DataFrame:
-    """An inner equi-join of two streams; the watermark bounds what is kept of them."""
-    return a.withWatermark("__publishTime", watermark).join(b.withWatermark("__publishTime", watermark), key == other)
-
-
 def measured(messages: DataFrame, name: str, payload_bytes: Column) -> DataFrame:
     """``messages``, with the metrics numInputRows and numInputBytes observed for each batch."""
     return messages.observe(name, F.count(F.lit(1)).alias("numInputRows"), F.sum(payload_bytes).alias("numInputBytes"))
