@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions import json_payload, schemas
+from tidewater.functions import json_records, schemas
 from tidewater.functions.envelope import META_NAMES, POSITION, event_time, message_id
 
 STORED = "entry long, batch_index long, batch_size long, key binary, publish_time timestamp, event_time timestamp, properties map<string,string>, payload binary, __topic string"
@@ -38,7 +38,7 @@ def values(log: DataFrame, schema: dict | None) -> DataFrame:
     kind, rest = (schema or {"type": "BYTES"})["type"].upper(), [c for c in log.columns if c != "payload"]
     p = F.col("payload")
     if kind == "JSON":
-        return json_payload.flattened(log, "payload", schemas.value_fields(schema), rest)
+        return json_records.flattened(log, "payload", schemas.value_fields(schema), rest)
     width = {"INT8": 1, "INT16": 2, "INT32": 4, "INT64": 8}
     if kind in width:
         value = _whole(p, width[kind]).cast(schemas.PRIMITIVES[kind])
