@@ -63,6 +63,42 @@ def test_contamination_aligns_as_far_as_it_goes(spark):
     assert got[1, 5] == round((240 - 9 * 15) / 128, 6) and got[2, 5] == 0.625 and got[2, None] == 1.0
 
 
+def test_common_phrases_make_few_pairs(spark):
+    """A phrase that all items and all documents share leads to no alignment by itself; copies are found all the same."""
+    rng = random.Random(4)
+    phrase = "choose the best answer to the following question below".split()
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    tests = [[*phrase, *[word() for _ in range(13)]] for _ in range(100)]
+    texts = [[word() for _ in range(40)] + phrase + [word() for _ in range(40)] for _ in range(400)]
+    for i in range(0, 100, 5):  # copies without any rare seed: every other word after the phrase is another
+        texts[i] += [*phrase, *[x if k % 2 else word() for k, x in enumerate(tests[i][9:])]]
+    items = spark.createDataFrame([(i, " ".join(w), i) for i, w in enumerate(tests)], "item_id long, item string, iid long")
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
+    gram_rows = contamination.item_grams(items, 4)
+    found = contamination.hits(docs, contamination.bitmap(gram_rows, 26), 4, contamination.reaches(gram_rows), 26).withColumn("sid", F.monotonically_increasing_id()).cache()
+    n, segments = contamination.pairs(found, gram_rows, items, 0.5).count(), found.count()
+    assert segments >= 400 and n < 2 * segments
+    got = {(r.doc_id, r.item_id) for r in contamination.contaminated(docs, items.withColumnRenamed("item", "text")).collect()}
+    want = {(d, i) for d, text in enumerate(texts[:100]) for i in (d,) if contamination.score(text, tests[i], 0.5) >= 0.5}
+    assert got == want and len(want) >= 15
+
+
+def test_contamination_in_scripts_without_spaces(spark):
+    rng = random.Random(6)
+    chars = {"zh": [chr(0x4E00 + k) for k in range(900)], "ja": [chr(0x3042 + k) for k in range(70)] + [chr(0x5000 + k) for k in range(300)], "th": [chr(0x0E01 + k) for k in range(46)]}
+    tests, texts = [], []
+    for k, script in enumerate([*chars] * 10):
+        item = [rng.choice(chars[script]) for _ in range(44)]
+        edited = [rng.choice(chars[script]) if j % 7 == 6 else x for j, x in enumerate(item)]
+        around = lambda: "".join(rng.choice(chars[script]) for _ in range(300))  # noqa: B023, E731
+        tests.append((k, "".join(item)))
+        texts += [(3 * k, around() + "".join(item) + around()), (3 * k + 1, around() + "".join(edited) + around()), (3 * k + 2, around())]
+    got = contamination.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(tests, "item_id long, text string")).collect()
+    right = {(3 * k + j, k) for k in range(30) for j in (0, 1)}
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert len(found & right) >= 0.9 * len(right) and found <= right
+
+
 # op1
 
 

@@ -1,15 +1,19 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters, digits and underscores in lower case.  One pass over the corpus finds the places where ``N``
-words of a text are also in a benchmark item.  The benchmark goes to that pass as a bitmap of fixed size, so that
-nothing grows with it; what the bitmap lets through by chance is dropped when hits are joined by n-gram.
+Words are runs of letters, digits and underscores in lower case, and single characters of scripts without spaces
+(Chinese, Japanese, Thai, Lao, Khmer, Burmese).  One pass over the corpus finds the places where ``N``
+words of a text are also in a benchmark item.  The benchmark goes to that pass as bitmaps of fixed size, so that
+nothing grows with it; what the bitmaps let through by chance is dropped when hits are joined by n-gram.
 
 Seeds.  N words are taken in a row and with one word left out in their middle, on both sides, and any of one kind may meet
 any of the other.  So a word replaced, put in or taken out between them doesn't break a seed: copies with every third word
-replaced have seeds.  Every n-gram of an item that a text holds is one, common or rare, as which of them an edited copy
-keeps can't be known from other documents; four words that say the same are rare enough.
+replaced have seeds.  A rare n-gram, of ``RARE`` items or fewer, is a seed by itself: so many pairs a hit at most.  A common one, such as
+a phrase that many items begin with, seeds a pair only where text and item share one of the item's rarest words, too.  An
+alignment that passes has at least ``t`` of the item's ``w`` words, so that of any w - t + 1 of them the text has one; the
+rarest ones are taken (by the number of items that have them).  No pair that could pass is lost so.
 
-Alignment.  Around hits the pass keeps segments, which reach ``REACH`` times the longest item's words to both sides.  A
+Alignment.  Around hits the pass keeps segments, which reach ``REACH`` times the words of the longest item with that n-gram, as
+its class of lengths has it, to both sides.  A
 local alignment has fewer gaps than it gains from matches, MATCH for each word of the item at most, so none that holds
 the seed reaches further.  For each segment and each item that share a seed, words are aligned locally: MATCH a pair of
 equal words, MISMATCH and GAP else.  The score is divided by that of a full copy of the item, or of ``FULL`` words if it
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch, shingles
@@ -41,7 +45,12 @@ FULL = 64
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 BITS = 26
-WORDS = re.compile(r"\w+")
+RARE = 8
+#: Lengths of items, in words, by which their n-grams' reach goes; the last class is as long as the longest item.
+CLASSES, CLASS_BITS = (16, 32, 64, 128, 256, 512), 24
+#: Blocks of scripts that put no spaces between words.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORDS = re.compile(f"[{UNSPACED}]|[^\\W{UNSPACED}]+")
 
 
 def grams(texts: list[str | None], n: int) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
@@ -62,15 +71,37 @@ def grams(texts: list[str | None], n: int) -> tuple[list[list[str]], np.ndarray,
 
 
 def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """item_id, g and ``words`` (of the item) for every n-gram of the items."""
+    """iid, g and ``words`` (of the item) for every n-gram of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split, h, doc, _ = grams(batch.column(1).to_pylist(), n)
             words = np.array([len(w) for w in split], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(words[doc])], ["item_id", "g", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(words[doc])], ["iid", "g", "words"])
 
-    return items.mapInArrow(run, "item_id long, g long, words long")
+    return items.select("iid", "item").mapInArrow(run, "iid long, g long, words long").distinct()
+
+
+def item_words(items: DataFrame) -> DataFrame:
+    """iid, w, ``c`` (how often the item has it) and ``words`` (of the item) for every word of the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for iid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                many = Counter(WORDS.findall(text.lower()))
+                n = len(many)
+                yield pa.RecordBatch.from_arrays([pa.repeat(iid, n), pa.array([*many], pa.string()), pa.array([*many.values()], pa.int64()), pa.repeat(sum(many.values()), n)], ["iid", "w", "c", "words"])
+
+    return items.select("iid", "item").mapInArrow(run, "iid long, w string, c long, words long")
+
+
+def rarest_words(words: DataFrame, threshold: float) -> DataFrame:
+    """iid and w: of each item its rarest words, so many that every text that may pass has one."""
+    spread = words.groupBy(F.col("w").alias("w2")).agg(F.count("*").alias("items"))
+    need = F.ceil(F.lit(threshold) * F.least("words", F.lit(FULL)) - 1e-9)
+    before = Window.partitionBy("iid").orderBy("items", "w").rowsBetween(Window.unboundedPreceding, -1)  # an item's words
+    ranked = words.join(spread, F.col("w") == F.col("w2")).withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    return ranked.filter(F.col("before") < F.col("words") - need + 1).select("iid", "w")
 
 
 def bitmap(gram_rows: DataFrame, bits: int) -> np.ndarray:
@@ -85,28 +116,46 @@ def bitmap(gram_rows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def hits(docs: DataFrame, known: np.ndarray, n: int, reach: int, bits: int) -> DataFrame:
+def reaches(gram_rows: DataFrame) -> tuple[list[int], list[np.ndarray]]:
+    """How far segments reach by class of items' lengths, and bitmaps of the n-grams of items of the second class or longer, the third, ..."""
+    longest = gram_rows.agg(F.max("words")).first()[0] or 0
+    bounds = [c for c in CLASSES if c < longest]
+    maps = [bitmap(gram_rows.filter(F.col("words") > c), CLASS_BITS) for c in bounds]
+    return [REACH * c for c in [*bounds, longest]], maps
+
+
+def held(known: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    slot = (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def hits(docs: DataFrame, known: np.ndarray, n: int, reach: tuple[list[int], list[np.ndarray]], bits: int) -> DataFrame:
     """doc_id, words (of a segment) and its hits: the n-grams that may be in items."""
-    known = docs.sparkSession.sparkContext.broadcast(known)
+    far, sent = reach[0], docs.sparkSession.sparkContext.broadcast([known, *reach[1]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, 512):
                 batch = whole_batch.slice(at, 512)
                 split, h, doc, place = grams(batch.column(1).to_pylist(), n)
-                slot = (h >> np.uint64(64 - bits)).astype(np.int64)
-                found = np.flatnonzero(known.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                found = np.flatnonzero(held(sent.value[0], h, bits))
                 found = found[np.lexsort((place[found], doc[found]))]
-                doc, place = doc[found], place[found]
+                doc, place, h = doc[found], place[found], h[found]
+                own = np.full(len(h), far[0], np.int64)
+                for k, longer in enumerate(sent.value[1:], 1):
+                    own[held(longer, h, CLASS_BITS)] = far[k]
+                low, high = np.maximum(place - own, 0), place + n + 1 + own
                 ids, texts, lists = [], [], []
-                new = np.ones(len(found), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 2 * reach)
-                starts = np.flatnonzero(new)
-                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], strict=False):
-                    i, first = doc[a], max(0, int(place[a]) - reach)
-                    ids.append(int(i))
-                    texts.append(" ".join(split[i][first : int(place[b - 1]) + n + 1 + reach]))
-                    lists.append(np.unique(h[found[a:b]].view(np.int64)).tolist())
+                a = 0
+                while a < len(h):
+                    b, first, last = a + 1, int(low[a]), int(high[a])
+                    while b < len(h) and doc[b] == doc[a] and low[b] <= last:
+                        first, last = min(first, int(low[b])), max(last, int(high[b]))
+                        b += 1
+                    ids.append(int(doc[a]))
+                    texts.append(" ".join(split[doc[a]][first:last]))
+                    lists.append(np.unique(h[a:b].view(np.int64)).tolist())
+                    a = b
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(texts, pa.string()), pa.array(lists, kind)], ["doc_id", "words", "hits"])
         shingles.forget()
@@ -137,18 +186,33 @@ def score(segment: list[str], item: list[str], threshold: float) -> float:
     return min(1.0, local_score([number[w] for w in item], np.array([number.get(w, -1) for w in segment])) / full)
 
 
+def pairs(found: DataFrame, gram_rows: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """sid and iid of the segments and items that share a seed."""
+    spread = gram_rows.groupBy(F.col("g").alias("g2")).agg((F.count("*") > RARE).alias("common"))
+    told = scratch.written(gram_rows.join(spread, F.col("g") == F.col("g2")).select("g", "iid", "common"), "told-grams")
+    each = found.select("sid", F.explode("hits").alias("g3"))
+    by_rare = each.join(told.filter("not common"), F.col("g3") == F.col("g")).select("sid", "iid")
+    common = told.filter("common")
+    shared = common.select("g").distinct()
+    some = scratch.written(each.join(shared, F.col("g3") == F.col("g")).groupBy("sid").agg(F.collect_set("g").alias("hit")), "common-hits")  # a segment's
+    mine = common.groupBy(F.col("iid").alias("i2")).agg(F.collect_set("g").alias("has"))  # an item's
+    rarest = rarest_words(item_words(items), threshold).join(mine.select("i2"), F.col("iid") == F.col("i2"), "left_semi")
+    said = found.join(some.select(F.col("sid").alias("s2")), F.col("sid") == F.col("s2"), "left_semi").select("sid", F.explode(F.array_distinct(F.split("words", " "))).alias("w2"))
+    met = said.join(rarest, F.col("w2") == F.col("w")).select("sid", "iid").distinct()
+    met = met.join(some.select(F.col("sid").alias("s2"), "hit"), F.col("sid") == F.col("s2")).join(mine, F.col("iid") == F.col("i2"))
+    return by_rare.unionByName(met.filter(F.arrays_overlap("hit", "has")).select("sid", "iid")).distinct()
+
+
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = N, bits: int = BITS) -> DataFrame:
     """doc_id, item_id and score (rounded to 6 digits) of every document and item that align at ``threshold`` or more."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     items = only(items, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), whole(F.col("text")).alias("item"))
+    items = scratch.written(items.withColumn("iid", F.monotonically_increasing_id()), "items")
     gram_rows = scratch.written(item_grams(items, n), "item-grams")
-    reach = REACH * (gram_rows.agg(F.max("words")).first()[0] or 0)
-    found = scratch.written(hits(docs, bitmap(gram_rows, bits), n, reach, bits).withColumn("sid", F.monotonically_increasing_id()), "segments")
-    each = found.select("sid", F.explode("hits").alias("g3"))
-    chosen = gram_rows.select("g", "item_id").distinct()
-    pairs = each.join(chosen, F.col("g3") == F.col("g")).select("sid", "item_id").distinct().select(F.col("sid").alias("s2"), F.col("item_id").alias("i2"))
-    texts = items.select(F.col("item_id").alias("i3"), "item")
-    both = found.join(pairs, F.col("sid") == F.col("s2")).join(texts, F.col("i2").eqNullSafe(F.col("i3"))).select("doc_id", F.col("i3").alias("item_id"), "words", "item")
+    found = hits(docs, bitmap(gram_rows, bits), n, reaches(gram_rows), bits)
+    found = scratch.written(found.withColumn("sid", F.monotonically_increasing_id()), "segments")
+    seeded = pairs(found, gram_rows, items, threshold).select(F.col("sid").alias("s2"), F.col("iid").alias("i2"))
+    both = found.join(seeded, F.col("sid") == F.col("s2")).join(items, F.col("i2") == F.col("iid")).select("doc_id", "item_id", "words", "item")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
