@@ -102,6 +102,15 @@ def test_contamination_in_scripts_without_spaces(spark):
 # op1
 
 
+def test_running_roots():
+    rng = random.Random(8)
+    for n in range(70):
+        leaves, root = [rng.randbytes(16) for _ in range(n)], tokenstore.Root()
+        for x in leaves:
+            root.add(x)
+        assert root.root() == tokenstore.merkle(leaves) and len(root.stack) <= 7
+
+
 def stored(spark, docs, odd_rows):
     path = scratch.folder(spark, "test-store")
     tokenstore.write(docs, path, PATH, PATTERN)
@@ -388,6 +397,12 @@ def test_mix(spark, odd, odd_rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.stage(empty).count() == 0
 
 
+def test_keys_of_documents_without_ids(spark):
+    docs = spark.range(20_000).selectExpr("if(id % 4 = 0, id, null) as doc_id", "concat('text ', id) as text", "'s' as source")
+    key = mixing.key_range(mixing.sampling_key(docs["doc_id"], docs["text"], F.lit(1.0), 1))
+    assert docs.groupBy(key.alias("b")).count().agg(F.max("count")).first()[0] < 30
+
+
 def test_mix_stage(spark, odd):
     taken = mixing.mix(odd, mixing.text_weight(odd["text"])).collect()
     out = mixing.stage(odd)

@@ -4,7 +4,8 @@ A source's target is its share of ``share`` times all words by weight, never abo
 is over goes to the other sources by weight, until none is above its limit.  That fixed point is ``min(most * size,
 level * weight)`` for one level, which a running sum over the sources, sorted by limit a weight, gives at once.
 
-A document's key is -ln(u) / w with u from a seeded hash of its id and w its quality weight.  Within a source, documents
+A document's key is -ln(u) / w with u from a seeded hash of its id and text and w its quality weight; so documents
+without an id, or with one and the same, have keys of their own.  Within a source, documents
 come in ascending order of their keys.  A target of k whole epochs and a rest takes every document k times and then the
 first documents by key, up to the rest; the document in which the rest ends is taken for what is left.
 
@@ -12,7 +13,7 @@ The prefix sum has two levels, so that a source with a third of all rows is no t
 which each is 2 ** (1 / RANGES) times as wide as the one before; word counts are summed by (source, range), the range sums
 are prefix-summed, and then each range is sorted by itself.  A weight moves all keys by a factor, and so shifts them along
 such ranges; for any weights, a range has at most ln 2 / (e RANGES) of a source's documents, 1 in 4000.  A range of keys
-below 2 ** -LOW or above 2 ** LOW ends there; next to no key does.
+below 2 ** -LOW or above 2 ** LOW ends there; next to no key does.  Only rows of equal id and equal text have equal keys.
 
 Sizes, weights and keys are found in one pass over the texts and written.
 
@@ -56,9 +57,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return df.select("source", "source_size", target.alias("target"))
 
 
-def sampling_key(id_col: Column, weight: Column, seed: int) -> Column:
-    """-ln(u) / w, with u in (0, 1) from 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("")), F.lit(str(seed))))
+def sampling_key(id_col: Column, text: Column, weight: Column, seed: int) -> Column:
+    """-ln(u) / w, with u in (0, 1) from 52 bits of an MD5 digest of id and text."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("")), F.lit(str(seed)), F.md5(text)))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     return -F.log(u) / weight
 
@@ -89,7 +90,7 @@ def mix(
     """doc_id, source, size, source_size, target, taken (and ``carry``, if given, under the name _carry) for every row of ``docs``."""
     weight = F.coalesce(quality_weight, F.lit(1.0)).cast("double") if quality_weight is not None else F.lit(1.0)
     text = whole(docs["text"])
-    cols = [docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("_tie"), sampling_key(docs["doc_id"], F.greatest(weight, F.lit(1e-6)), seed).alias("_key")]
+    cols = [docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("_tie"), sampling_key(docs["doc_id"], text, F.greatest(weight, F.lit(1e-6)), seed).alias("_key")]
     if carry is not None:
         cols.append(carry.alias("_carry"))
     df = docs.select(*cols)
@@ -137,7 +138,7 @@ WITH docs AS (
 weighed AS (
   SELECT *, greatest(1e-6, greatest(0.05, (1 - 8 * (len(regexp_extract_all(t, '[#*$%&|<>]')) / greatest(length(t), 1))) * CASE WHEN regexp_matches(t, '[.!?]["\'\'”’»)]*\\s*$') THEN 1.0 ELSE 0.5 END)) AS w FROM docs),
 keyed AS (
-  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':20240607'), 1, 13) AS BIGINT) + 0.5) / {1 << 52}) / w AS key FROM weighed),
+  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':20240607:' || md5(t)), 1, 13) AS BIGINT) + 0.5) / {1 << 52}) / w AS key FROM weighed),
 sources AS (
   SELECT source, sum(size) AS source_size, ([{", ".join(map(str, WEIGHTS))}])[1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} AS INT)] AS sw FROM docs GROUP BY source),
 caps AS (SELECT *, {MOST}.0 * source_size AS cap, {SHARE} * sum(source_size) OVER () AS total FROM sources),
