@@ -164,6 +164,26 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
+class Root:
+    """merkle() of leaves as they come, of which only the roots of whole subtrees are held: one for each bit of their number."""
+
+    def __init__(self):
+        self.n, self.stack = 0, []
+
+    def add(self, node: bytes) -> None:
+        height, self.n = 0, self.n + 1
+        while self.stack and self.stack[-1][0] == height:
+            node = blake2b(self.stack.pop()[1] + node, digest_size=DIGEST).digest()
+            height += 1
+        self.stack.append((height, node))
+
+    def root(self) -> bytes:
+        out = None
+        for _, node in reversed(self.stack):
+            out = node if out is None else blake2b(node + out, digest_size=DIGEST).digest()
+        return out or b""
+
+
 def leaf(doc_id: int | None, start: int, n_tokens: int, root: bytes) -> bytes:
     """What a shard's root covers of a document."""
     return blake2b(struct.pack("<?qqq", doc_id is not None, doc_id or 0, start, n_tokens) + root, digest_size=DIGEST).digest()
@@ -216,7 +236,7 @@ def shards(rows: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, unpack, width = zstandard.ZstdCompressor(1), zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
-        shard, start, roots, pending = TaskContext.get().partitionId(), 0, [], None
+        shard, start, root, pending = TaskContext.get().partitionId(), 0, Root(), None
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -243,12 +263,13 @@ def shards(rows: DataFrame, kind: str) -> DataFrame:
                     pending = None
                 if own:
                     rows = part.take(pa.array(own))
-                    roots += map(leaf, *[rows.column(c).to_pylist() for c in ("doc_id",)], starts, *[rows.column(c).to_pylist() for c in ("n_tokens", "root")])
+                    for one in map(leaf, rows.column("doc_id").to_pylist(), starts, rows.column("n_tokens").to_pylist(), rows.column("root").to_pylist()):
+                        root.add(one)
                     columns = [pa.repeat("doc", len(own)), pa.repeat(pa.scalar(shard, pa.int32()), len(own)), rows.column("doc_id"), pa.array(starts, pa.int64()), rows.column("n_tokens").cast(pa.int64()), pa.nulls(len(own), pa.int64())]
                     columns += [rows.column("digests").cast(SCHEMA.field("digests").type), rows.column("lens").cast(SCHEMA.field("lens").type), pa.array(foreign, SCHEMA.field("foreign").type), pa.array(shared, SCHEMA.field("shared").type), pa.array(payloads, pa.binary()), rows.column("root")]
                     yield pa.RecordBatch.from_arrays(columns, schema=SCHEMA)
-        if roots:
-            yield pa.RecordBatch.from_pylist([{"kind": "shard", "shard": shard, "n_tokens": start, "n_docs": len(roots), "root": merkle(roots)}], SCHEMA)
+        if root.n:
+            yield pa.RecordBatch.from_pylist([{"kind": "shard", "shard": shard, "n_tokens": start, "n_docs": root.n, "root": root.root()}], SCHEMA)
 
     return rows.mapInArrow(run, STORED)
 
@@ -297,16 +318,26 @@ def verify(spark: SparkSession, path: str) -> None:
     """Raises unless the documents of every shard are those of its root, and the shards those of the corpus root."""
     rows = spark.read.schema(STORED).parquet(path)
 
+    of_shard = pa.schema([SCHEMA.field(c) for c in ("shard", "n_docs", "n_tokens", "root")])
+
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, root, tokens = None, Root(), 0
         for batch in batches:
             out = []
-            for shard, docs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                docs.sort(key=lambda d: (d["local_start"], d["root"]))
-                out.append({"shard": shard, "n_docs": len(docs), "n_tokens": sum(d["n_tokens"] for d in docs), "root": merkle([leaf(d["doc_id"], d["local_start"], d["n_tokens"], d["root"]) for d in docs])})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([SCHEMA.field(c) for c in ("shard", "n_docs", "n_tokens", "root")]))
-
-    # Places and roots of a shard's documents, 50 bytes each; a shard is what one task wrote.
-    held = rows.filter("kind = 'doc'").groupBy("shard").agg(F.collect_list(F.struct("doc_id", "local_start", "n_tokens", "root")).alias("docs"))
+            for s, doc_id, start, n, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if s != shard:
+                    if root.n:
+                        out.append({"shard": shard, "n_docs": root.n, "n_tokens": tokens, "root": root.root()})
+                    shard, root, tokens = s, Root(), 0
+                root.add(leaf(doc_id, start, n, own))
+                tokens += n
+            if out:
+                yield pa.RecordBatch.from_pylist(out, of_shard)
+        if root.n:
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": root.n, "n_tokens": tokens, "root": root.root()}], of_shard)
+
+    # Documents stream in order of their shards, however many one has.
+    held = rows.filter("kind = 'doc'").select("shard", "doc_id", "local_start", "n_tokens", "root").repartition("shard").sortWithinPartitions("shard", "local_start", "root")
     found = held.mapInArrow(again, "shard int, n_docs long, n_tokens long, root binary")
     said = rows.filter("kind = 'shard'").select("shard", "n_docs", "n_tokens", "root")
     wrong = found.exceptAll(said).union(said.exceptAll(found)).select("shard").distinct().limit(5).collect()
