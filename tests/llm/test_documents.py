@@ -430,7 +430,7 @@ def test_sampling_follows_weights(spark):
 def test_key_ranges_are_even_at_any_weight(spark):
     n = 200_000
     for weight in (0.05, 0.5, 1.0, 1000.0):
-        keys = spark.range(n).select(mixing.sampling_key(F.col("id"), F.lit(weight), 1).alias("key")).withColumn("b", mixing.key_range(F.col("key")))
+        keys = spark.range(n).select(mixing.sampling_key(F.col("id"), F.lit("text"), F.lit(weight), 1).alias("key")).withColumn("b", mixing.key_range(F.col("key")))
         assert keys.groupBy("b").count().agg(F.max("count")).first()[0] < 2 * n / 4000
         ranges = keys.groupBy("b").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("b").collect()
         assert all(x.hi < y.lo for x, y in zip(ranges, ranges[1:], strict=False))
