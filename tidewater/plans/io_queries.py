@@ -1,8 +1,9 @@
-"""Queries that write to a topic log and read it back, in batch and as streams; the result is again the events table's."""
+"""Queries that publish events to topics and read them back, in batch and as streams; the result is again the events table's."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,9 @@ from pyspark.sql import types as T
 
 from tidewater.functions import avro, schemas
 from tidewater.functions.envelope import PARTITION
-from tidewater.operators import topics
-from tidewater.sources.parquet_log import log_frame
+from tidewater.sources import parquet_log, topic_tables
 from tidewater.sources.places import shared_folder
-from tidewater.sources.topic_log import TopicLog
-from tidewater.streaming.queries import stream, until_done
+from tidewater.streaming.replay import drained, replayed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,11 +37,6 @@ def outgoing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(topic.alias("__topic"), F.col("user_id").cast("string").alias("__key"), at.alias("__eventTime"), F.create_map(F.lit("k"), F.get_json_object("props", "$.k")).alias("__messageProperties"), "event_id", "value", "props")
 
 
-def written(spark: SparkSession, df: DataFrame, url: str) -> None:
-    spark.dataSource.register(TopicLog)
-    df.write.format("tidewater").option("service.url", url).mode("append").save()
-
-
 def shown(df: DataFrame) -> DataFrame:
     return df.select("event_id", "value", F.decode("__key", "UTF-8").alias("msg_key"), F.unix_micros("__eventTime").alias("event_us"), F.col("__messageProperties")["k"].alias("k"), F.col("__topic").alias("topic"))
 
@@ -50,39 +44,52 @@ def shown(df: DataFrame) -> DataFrame:
 _ALL = "SELECT event_id, value, CAST(user_id AS VARCHAR) AS msg_key, epoch_us(ts) AS event_us, json_extract_string(props, '$.k') AS k, 'topic://main/default/' || event_type || '-partition-' || (user_id % 4) AS topic FROM events"
 
 
+#: The value columns of outgoing().
+VALUES = T.StructType().add("event_id", "long").add("value", "double").add("props", "string")
+
+
 @query(_ALL)
 def sink_roundtrip(spark, sf_dir):
-    url = shared_folder(spark, "topic-log")
-    written(spark, outgoing(spark, sf_dir), url)
-    return shown(spark.read.format("tidewater").options(**{"service.url": url, "topicspattern": ".*"}).load())
+    """Events published to topics and read back."""
+    path = shared_folder(spark, "topics")
+    topic_tables.publish(outgoing(spark, sf_dir), path)
+    return shown(topic_tables.scan(spark, path, VALUES, pattern=".*"))
 
 
-def _streamed(spark: SparkSession, url: str, out: str, **options: str) -> None:
-    df = stream(spark, **{"service.url": url, "startingoffsets": "earliest"}, **options)
-    until_done(shown(df).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").start())
+def _streamed(messages: DataFrame, out: str) -> None:
+    drained(shown(messages).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint"))
 
 
 @query(_ALL)
 def stream_restart(spark, sf_dir):
     """Two runs of one streaming query; half of the messages come while it is stopped."""
-    url, out, df = shared_folder(spark, "topic-log"), shared_folder(spark, "stream"), outgoing(spark, sf_dir)
-    written(spark, df.filter("event_id % 2 = 0"), url)
-    _streamed(spark, url, out, topicspattern=".*")
-    written(spark, df.filter("event_id % 2 = 1"), url)
-    _streamed(spark, url, out, topicspattern=".*")
+    path, out, df = shared_folder(spark, "topics"), shared_folder(spark, "stream"), outgoing(spark, sf_dir)
+    for half in (0, 1):
+        topic_tables.publish(df.filter(F.col("event_id") % 2 == half), path)
+        _streamed(topic_tables.follow(spark, path, VALUES, pattern=".*"), out)
     return spark.read.parquet(f"{out}/rows")
 
 
 @query(_ALL + " WHERE event_type = 'view'")
 def stream_admission(spark, sf_dir):
-    """A stream that takes a bounded number of bytes a batch, until all are read."""
-    url, out = shared_folder(spark, "topic-log"), shared_folder(spark, "stream")
-    written(spark, outgoing(spark, sf_dir), url)
-    total = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type = 'view'").count() * 40
-    _streamed(spark, url, out, **{"topic": "view", "maxbytespertrigger": str(max(64, total // 4)), "admin.url": url})
+    """A stream of one topic that takes a bounded number of bytes a batch, until all are read."""
+    path, out = shared_folder(spark, "topics"), shared_folder(spark, "stream")
+    topic_tables.publish(outgoing(spark, sf_dir), path)
+    limit = max(1, topic_tables.n_bytes(spark, path, topic="view") // 4)
+    _streamed(topic_tables.follow(spark, path, VALUES, max_bytes=limit, topic="view"), out)
     return spark.read.parquet(f"{out}/rows")
 
 
+@query(_ALL)
+def stream_publish(spark, sf_dir):
+    """Events published by a stream, each batch once, and read back from the topics."""
+    out, df = shared_folder(spark, "published"), outgoing(spark, sf_dir)
+    sink = topic_tables.TopicSink(out)
+    run = lambda s: drained(s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/checkpoint"))
+    replayed(df, F.col("event_id") % 3, 3, run)
+    return shown(sink.read(spark))
+
+
 @query("SELECT event_id, user_id, value, props, epoch_us(ts) AS ts_us, CASE WHEN event_id % 3 <> 0 THEN event_type END AS maybe FROM events")
 def avro_roundtrip(spark, sf_dir):
     """Each row to an Avro record's bytes and back."""
@@ -119,32 +126,32 @@ def avro_roundtrip(spark, sf_dir):
     "FROM events WHERE event_type IN ('view', 'click') GROUP BY 1"
 )
 def stored_log_scan(spark, sf_dir):
-    """A stored log scanned by Spark's own reader, folders of other topics pruned."""
-    url = shared_folder(spark, "topic-log")
-    written(spark, outgoing(spark, sf_dir), url)
-    df = topics.select_topics(log_frame(spark, url), pattern="(?:view|click)")
+    """Topics scanned in a batch, folders of others pruned."""
+    path = shared_folder(spark, "topics")
+    topic_tables.publish(outgoing(spark, sf_dir), path)
+    df = topic_tables.scan(spark, path, VALUES, pattern="(?:view|click)")
     return df.groupBy(F.col("__topic").alias("topic")).agg(F.count("*").alias("n"), F.count_distinct("__key").alias("keys"), F.max(F.unix_micros("__eventTime")).alias("last_us"))
 
 
-#: A value of each primitive type from an event, in Spark's words and in DuckDB's.
+#: A value of each primitive kind from an event, in Spark's words and in DuckDB's.
 _PRIMITIVES = {
-    "boolean": ("event_id % 3 = 0", "event_id % 3 = 0"),
-    "tinyint": ("cast(user_id % 100 - 50 as tinyint)", "user_id % 100 - 50"),
-    "smallint": ("cast(event_id % 30000 - 15000 as smallint)", "event_id % 30000 - 15000"),
-    "int": ("cast(-user_id * 1000 as int)", "-user_id * 1000"),
-    "bigint": ("event_id * -1000000007", "event_id * -1000000007"),
-    "string": ("concat('é', props)", "'é' || props"),
+    "boolean": ("BOOLEAN", "event_id % 3 = 0", "event_id % 3 = 0"),
+    "tinyint": ("INT8", "cast(user_id % 100 - 50 as tinyint)", "user_id % 100 - 50"),
+    "smallint": ("INT16", "cast(event_id % 30000 - 15000 as smallint)", "event_id % 30000 - 15000"),
+    "int": ("INT32", "cast(-user_id * 1000 as int)", "-user_id * 1000"),
+    "bigint": ("INT64", "event_id * -1000000007", "event_id * -1000000007"),
+    "string": ("STRING", "concat('é', props)", "'é' || props"),
 }
 
 
-@query(" UNION ALL ".join(f"SELECT '{kind}' AS kind, CAST({sql} AS VARCHAR) AS v FROM events" for kind, (_, sql) in _PRIMITIVES.items()))
+@query(" UNION ALL ".join(f"SELECT '{kind}' AS kind, CAST({sql} AS VARCHAR) AS v FROM events" for kind, (_, _, sql) in _PRIMITIVES.items()))
 def primitive_roundtrip(spark, sf_dir):
-    """Topics of one primitive value each, written and read back."""
-    df, out = spark.read.parquet(f"{sf_dir}/events.parquet"), None
-    spark.dataSource.register(TopicLog)
-    for kind, (sql, _) in _PRIMITIVES.items():
-        url = shared_folder(spark, f"topic-log-{kind}")
-        df.selectExpr(f"{sql} as value").write.format("tidewater").options(**{"service.url": url, "topic": kind}).mode("append").save()
-        one = spark.read.format("tidewater").options(**{"service.url": url, "topic": kind}).load().select(F.lit(kind).alias("kind"), F.col("value").cast("string").alias("v"))
-        out = one if out is None else out.union(one)
-    return out
+    """Topics of one primitive value each, written as the kind's bytes and read back by its schema."""
+    df, path = spark.read.parquet(f"{sf_dir}/events.parquet"), shared_folder(spark, "topics")
+    payloads = F.array(*[F.struct(F.lit(name).alias("__topic"), parquet_log.payload(F.expr(sql), kind).alias("payload")) for name, (kind, sql, _) in _PRIMITIVES.items()])
+    topic_tables.publish(df.select(F.inline(payloads)), path)
+    parts = []
+    for name, (kind, _, _) in _PRIMITIVES.items():
+        one = parquet_log.values(topic_tables.scan(spark, path, T.StructType().add("payload", "binary"), topic=name), {"type": kind})
+        parts.append(one.select(F.lit(name).alias("kind"), F.col("value").cast("string").alias("v")))
+    return reduce(DataFrame.union, parts)

@@ -16,6 +16,9 @@ from tidewater.functions.envelope import META_NAMES, POSITION, event_time, messa
 
 STORED = "entry long, batch_index long, batch_size long, key binary, publish_time timestamp, event_time timestamp, properties map<string,string>, payload binary, __topic string"
 
+#: Bytes of the whole numbers.
+WIDTHS = {"INT8": 1, "INT16": 2, "INT32": 4, "INT64": 8}
+
 
 def log_frame(spark: SparkSession, url: str) -> DataFrame:
     """Every message of the log: metadata columns, position, batch_size, n_bytes and payload."""
@@ -33,15 +36,32 @@ def _whole(payload: Column, n: int) -> Column:
     return F.when(high >= number(1 << (8 * n - 1)), high - number(1 << (8 * n))).otherwise(high).cast("long")
 
 
+def payload(value: Column, kind: str) -> Column:
+    """The bytes of a value of a primitive kind, as :func:`values` reads them; null for null."""
+    whole = lambda x, n: F.unhex(F.substring(F.lpad(F.hex(x.cast("long")), 16, "0"), 17 - 2 * n, 2 * n))
+    if kind in WIDTHS:
+        return whole(value, WIDTHS[kind])
+    if kind == "BOOLEAN":
+        return whole(value.cast("int"), 1)
+    if kind == "STRING":
+        return F.encode(value, "UTF-8")
+    if kind == "DATE":
+        return whole(F.unix_date(value).cast("long") * 86_400_000, 8)
+    if kind == "TIMESTAMP":
+        return whole(F.unix_millis(value), 8)
+    if kind == "BYTES":
+        return value
+    raise schemas.IncompatibleSchemaError(f"{kind} values are encoded by the data source")
+
+
 def values(log: DataFrame, schema: dict | None) -> DataFrame:
     """``log`` with its payload as value columns, before the others."""
     kind, rest = (schema or {"type": "BYTES"})["type"].upper(), [c for c in log.columns if c != "payload"]
     p = F.col("payload")
     if kind == "JSON":
         return json_records.flattened(log, "payload", schemas.value_fields(schema), rest)
-    width = {"INT8": 1, "INT16": 2, "INT32": 4, "INT64": 8}
-    if kind in width:
-        value = _whole(p, width[kind]).cast(schemas.PRIMITIVES[kind])
+    if kind in WIDTHS:
+        value = _whole(p, WIDTHS[kind]).cast(schemas.PRIMITIVES[kind])
     elif kind == "BOOLEAN":
         value = F.hex(p) != "00"
     elif kind == "STRING":

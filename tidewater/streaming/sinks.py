@@ -48,9 +48,13 @@ class OnceSink:
     def commit(self, mine: DataFrame) -> None:
         mine.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Rows of all batches that have been stored, whole or not, with stream and batch."""
+        return spark.read.parquet(f"{self.path}/rows")
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows of whole batches, with stream and batch; the log prunes the folders that are read."""
-        rows = spark.read.parquet(f"{self.path}/rows").withColumns({"stream": F.col("stream").cast("string"), "batch": F.col("batch").cast("long")})
+        rows = self.rows(spark).withColumns({"stream": F.col("stream").cast("string"), "batch": F.col("batch").cast("long")})
         return rows.join(self.log(spark).distinct(), ["stream", "batch"], "left_semi")
 
 
