@@ -6,8 +6,10 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from comparing import duck, same
 from hypothesis import given, settings
@@ -329,6 +331,63 @@ def test_quality_of_other_scripts_and_bad_lines(spark):
     assert got[5].clean.startswith("A sentence") and got[6].clean == "" and got[7].clean.startswith("Words")
 
 
+#: Lines of menus and lists, and of prose and verse, in four languages.
+BAD_LINES = {
+    "menu": ["Home About Contact Careers Press Blog", "Startseite Produkte Preise Kontakt Presse Karriere", "Accueil Boutique Contact Presse Emplois Aide", "Inicio Tienda Contacto Prensa Empleo Ayuda"],
+    "small menu": ["home about contact careers press blog", "startseite produkte preise kontakt presse karriere", "accueil boutique contact presse emplois aide", "inicio tienda contacto prensa empleo ayuda"],
+    "links": ["Ten Ways to Cook Fresh Pasta", "Die Besten Hotels der Stadt Hamburg", "Les Plus Belles Plages de Bretagne", "Las Mejores Rutas por los Pirineos"],
+    "table": ["Berlin 3645000 891 1237 Germany", "Hamburg 1841000 755 808 Germany", "Lyon 516092 47 1060 France", "Madrid 3223000 604 808 Spain"],
+    "headings": ["Chapter Two", "Erste Schritte", "Mentions diverses", "Otros temas"],
+}
+GOOD_LINES = {
+    "prose": [
+        "The river rises in the hills behind the town and runs for nearly forty miles before it meets the sea, where the fishing boats used to lie at anchor through the winter. Few of them are left, and those that are belong to visitors.",
+        "Der Fluss entspringt in den Bergen hinter der Stadt und fließt fast vierzig Meilen weit, bevor er das Meer erreicht, wo früher im Winter die Boote der Fischer lagen. Nur wenige sind geblieben, und sie gehören den Gästen.",
+        "La rivière prend sa source dans les collines derrière la ville et parcourt près de quarante lieues avant de rejoindre la mer, où les bateaux de pêche restaient autrefois tout l'hiver. Il en reste peu, et ils sont aux visiteurs.",
+        "El río nace en las colinas que hay detrás del pueblo y recorre casi cuarenta leguas antes de llegar al mar, donde los barcos de pesca pasaban antes todo el invierno. Quedan pocos, y los que quedan son de los visitantes.",
+    ],
+    "verse": [
+        "Shall I compare thee to a summer's day?\nThou art more lovely and more temperate:\nRough winds do shake the darling buds of May,\nAnd summer's lease hath all too short a date;\nSometime too hot the eye of heaven shines,\nAnd often is his gold complexion dimm'd;",
+        "Wer reitet so spät durch Nacht und Wind?\nEs ist der Vater mit seinem Kind;\nEr hat den Knaben wohl in dem Arm,\nEr faßt ihn sicher, er hält ihn warm.",
+        "Mignonne, allons voir si la rose\nQui ce matin avait déclose\nSa robe de pourpre au soleil,\nA point perdu cette vesprée\nLes plis de sa robe pourprée,\nEt son teint au vôtre pareil.",
+        "Volverán las oscuras golondrinas\nen tu balcón sus nidos a colgar,\ny otra vez con el ala a sus cristales\njugando llamarán.\nPero aquellas que el vuelo refrenaban\ntu hermosura y mi dicha a contemplar,",
+    ],
+}
+
+
+def test_quality_rules_by_kind_of_line(spark):
+    """Menus, lists and tables fail whole; beside prose they go and it stays.  Wrapped prose and verse stay, to the share given."""
+    rows, own = [], {}
+    for kind, lines in BAD_LINES.items():
+        for shift in range(4):
+            own[len(rows)] = (kind, None)
+            rows.append((len(rows), "\n".join(f"{lines[(shift + k) % 4]}{'' if k < 4 else ' ' + chr(65 + k)}" for k in range(12))))
+    for kind, texts in GOOD_LINES.items():
+        for t in texts:
+            for width in (45, 60, 72, 80) if kind == "prose" else (0,):
+                own[len(rows)] = (kind, None)
+                rows.append((len(rows), "\n".join(textwrap.wrap(t, width)) if width else t))
+    prose = "\n".join(textwrap.wrap(GOOD_LINES["prose"][0], 60))
+    for kind in BAD_LINES:
+        own[len(rows)] = (f"{kind} and prose", prose)
+        rows.append((len(rows), "\n".join(BAD_LINES[kind]) + "\n\n" + prose))
+    got, share = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}, {}
+    for i, (kind, want) in own.items():
+        share.setdefault(kind, []).append((got[i].n_clean_chars, got[i].word_chars))
+        if want is not None:
+            assert got[i].clean.strip() == want, kind
+        elif kind in BAD_LINES:
+            assert not got[i].kept, (kind, rows[i][1], got[i].clean)
+    share = {k: sum(a for a, _ in v) / sum(b for _, b in v) for k, v in share.items()}
+    print(share)
+    assert all(share[k] == 0 for k in BAD_LINES) and share["prose"] > 0.93 and share["verse"] > 0.9
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    same(spark.createDataFrame([(i, got[i].n_words, got[i].kept, got[i].n_clean_chars) for i in own], "doc_id long, n_words long, kept boolean, n_clean_chars long"), con, f"SELECT doc_id, n_words, kept, n_clean_chars FROM ({quality.ORACLE})")
+    one = quality.quality(spark.createDataFrame([(1, " ".join(f"Name{i}" for i in range(30)) + " ก")], "doc_id long, text string")).first()
+    assert not one.kept and one.clean == ""
+
+
 # op5
 
 

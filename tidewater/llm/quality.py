@@ -4,9 +4,12 @@ Every line of a document is held against the rules of :func:`line_fails`; lines
 is then rejected if it fails the base rules (too short, or too much of it repeats) or if its kept lines hold less than
 ``min_kept_share`` of its characters, white space aside.
 
-A line that ends no sentence isn't at fault where lines are broken within sentences: if it and the line before or after
-it have ``RUNNING`` words or more each, it is running text (wrapped prose, verse).  Sentence ends are those of all scripts;
-scripts that have none (Thai, Lao, Burmese, Khmer) aren't held to that rule.
+A line that ends no sentence isn't at fault where lines are broken within sentences.  It is running text (wrapped prose,
+verse) if it and the line before or after it have ``RUNNING`` words or more each, its words begin with small letters
+at least as often as with capitals, and a line with the end of a sentence or clause is at most ``REACH`` lines away with no blank line
+between.  So menus, lists of links and tables fail, whatever their lines' lengths: they have no such line near, or
+capitals throughout.  Sentence ends are those of all scripts; a line of which half the characters are of a
+script that has none (Thai, Lao, Burmese, Khmer) isn't held to that rule.
 
 Nothing is shuffled: each document is judged from its own text, in one pass over the scan.
 
@@ -29,6 +32,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_KEPT_SHARE = 0.5
 
 RUNNING = 5
+REACH = 8
 
 #: Phrases that mark a line as page furniture, in English, German, French and Spanish.
 BOILERPLATE = (
@@ -41,16 +45,38 @@ BOILERPLATE = (
 )
 #: Marks that end a sentence or a clause.  Those of the first class count before white space only.
 SENTENCE = r"""[.!?;:…]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)|[。．｡！？；：؟۔؛।॥։՞՜።፧။។៕།༎᠃᠉‽⸮]"""
+#: Marks within a sentence.
+COMMA = r"[,،、，﹐､]"
 #: Letters of scripts that end sentences without a mark.
 UNMARKED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}]"
+#: The beginning of a word, up to its first letter.
+START = r"(?:^|[\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]*"
+#: Lines by what they hold: no word, the end of a sentence or clause, neither.
+BLANK, MARK, PLAIN = "b", "m", "p"
+#: A marked line with only plain lines between, before and after.
+MARK_BEFORE, MARK_AFTER = f"{MARK}{PLAIN}*$", f"^{PLAIN}*{MARK}"
 
 
-def line_fails(line: Column, n: Column, before: Column, after: Column) -> Column:
-    """Whether a line fails a rule; it has ``n`` words, and the lines beside it ``before`` and ``after`` (null: there is none)."""
-    beside = (F.coalesce(before, F.lit(0)) >= RUNNING) | (F.coalesce(after, F.lit(0)) >= RUNNING)
+def kind_of(line: Column, n: Column) -> Column:
+    return F.when(n == 0, BLANK).when(line.rlike(SENTENCE) | line.rlike(COMMA), MARK).otherwise(PLAIN)
+
+
+def running(lines: Column, kinds: Column, x: Column, i: Column) -> Column:
+    """Whether the line ``x``, the i-th of ``lines`` from 0, is running text; ``kinds`` are the lines' kinds."""
+    beside = lambda j: F.coalesce(F.get(lines, j)["n"], F.lit(0)) >= RUNNING
+    cased = F.regexp_count(x["l"], F.lit(START + r"\p{Ll}")) >= F.regexp_count(x["l"], F.lit(START + r"\p{Lu}"))
+    first = F.greatest(i - REACH, F.lit(0))
+    before, after = F.array_join(F.slice(kinds, first + 1, i - first), ""), F.array_join(F.slice(kinds, i + 2, F.lit(REACH)), "")
+    return (x["n"] >= RUNNING) & (beside(i - 1) | beside(i + 1)) & cased & (before.rlike(MARK_BEFORE) | after.rlike(MARK_AFTER))
+
+
+def line_fails(lines: Column, kinds: Column, x: Column, i: Column) -> Column:
+    """Whether ``x``, the i-th line, fails a rule; lines are structs of the line ``l`` and its number of words ``n``."""
+    line, n = x["l"], x["n"]
+    unmarked = F.regexp_count(line, F.lit(UNMARKED)) * 2 >= F.length(F.regexp_replace(line, GAP, ""))
     rules = (
         # Punctuation: nothing in the line ends a sentence or a clause, and it isn't running text.
-        ~((n >= RUNNING) & beside) & ~line.rlike(SENTENCE) & ~line.rlike(UNMARKED),
+        ~line.rlike(SENTENCE) & ~unmarked & ~running(lines, kinds, x, i),
         # Punctuation: symbols, or exclamation marks, on nearly every other word.
         n_of(line, SYMBOLS) * 2 > n,
         (n >= 4) & (n_of(line, "!") * 2 > n),
@@ -101,8 +127,9 @@ def measure(df: DataFrame) -> DataFrame:
 def cleaned(df: DataFrame, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """Adds ``clean`` (the text without failed lines), n_clean_chars (without white space) and ``kept`` to measured rows."""
     df = df.withColumn("_x", F.transform(F.split("body", "\n"), lambda x: F.struct(x.alias("l"), F.regexp_count(x, F.lit(WORD)).alias("n"))))
-    good = F.filter("_x", lambda x, i: (x["n"] == 0) | ~line_fails(x["l"], x["n"], F.get("_x", i - 1)["n"], F.get("_x", i + 1)["n"]))
-    df = df.withColumn("clean", F.array_join(F.transform(good, lambda x: x["l"]), "\n")).drop("_x")
+    df = df.withColumn("_k", F.transform("_x", lambda x: kind_of(x["l"], x["n"])))
+    good = F.filter("_x", lambda x, i: (x["n"] == 0) | ~line_fails(F.col("_x"), F.col("_k"), x, i))
+    df = df.withColumn("clean", F.array_join(F.transform(good, lambda x: x["l"]), "\n")).drop("_x", "_k")
     df = df.withColumn("n_clean_chars", F.length(F.regexp_replace("clean", GAP, "")).cast("long"))
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("n_clean_chars") >= min_kept_share * F.col("word_chars")))
 
@@ -142,10 +169,19 @@ twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range({WINDOW}) AS r(k) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM docs),
 counted AS (SELECT *, len(regexp_extract_all(l, '{WORD}')) AS n FROM lines),
+kinds AS (
+  SELECT *, length(regexp_replace(l, '{GAP}', '', 'g')) AS chars, regexp_matches(l, '{SENTENCE.replace("'", "''")}') AS ends,
+    CASE WHEN n = 0 THEN '{BLANK}' WHEN regexp_matches(l, '{SENTENCE.replace("'", "''")}') OR regexp_matches(l, '{COMMA}') THEN '{MARK}' ELSE '{PLAIN}' END AS kind
+  FROM counted),
 ruled AS (
-  SELECT *, greatest(lag(n, 1, 0) OVER d, lead(n, 1, 0) OVER d) AS beside, length(regexp_replace(l, '{GAP}', '', 'g')) AS chars FROM counted WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT *, greatest(lag(n, 1, 0) OVER d, lead(n, 1, 0) OVER d) AS beside,
+    coalesce(string_agg(kind, '') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {REACH} PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(kind, '') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND {REACH} FOLLOWING), '') AS after
+  FROM kinds WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 judged AS (
-  SELECT *, (NOT (n >= {RUNNING} AND beside >= {RUNNING}) AND NOT regexp_matches(l, '{SENTENCE.replace("'", "''")}') AND NOT regexp_matches(l, '{UNMARKED}'))
+  SELECT *, (NOT ends AND NOT len(regexp_extract_all(l, '{UNMARKED}')) * 2 >= chars
+      AND NOT (n >= {RUNNING} AND beside >= {RUNNING} AND len(regexp_extract_all(l, '{START}\\p{{Ll}}')) >= len(regexp_extract_all(l, '{START}\\p{{Lu}}'))
+        AND (regexp_matches(before, '{MARK_BEFORE}') OR regexp_matches(after, '{MARK_AFTER}'))))
     OR len(regexp_extract_all(l, '[#*$%&|<>]')) * 2 > n
     OR (n >= 4 AND (length(l) - length(replace(l, '!', ''))) * 2 > n)
     OR (length(l) - length(replace(l, '|', '')) + length(l) - length(replace(l, '»', '')) + length(l) - length(replace(l, '›', ''))) * 3 >= n + 1
