@@ -159,3 +159,12 @@ def test_loss_policy():
         loss.report("x", True)
     with pytest.warns(RuntimeWarning):
         loss.report("x", False)
+
+
+def test_a_schema_that_differs_is_told_by_its_fields():
+    mine, read = T.StructType().add("a", T.IntegerType()).add("b", T.StringType()), T.StructType().add("a", T.LongType(), False).add("b", T.StringType())
+    with pytest.raises(ValueError, match="given has a int where the topics read as a bigint not null"):
+        schemas.check_same(mine, read)
+    schemas.check_same(read, T.StructType(read.fields))
+    with pytest.raises(ValueError, match="no other field where the topics read as no other field"):
+        schemas.check_same(T.StructType(read.fields[::-1]), read)

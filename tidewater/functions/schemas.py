@@ -156,5 +156,7 @@ def common_schema(schemas: list[dict | None], allow_different: bool) -> dict | N
 
 
 def check_same(given: T.StructType, inferred: T.StructType) -> None:
+    """Raises ValueError, naming the fields, if a schema that was given isn't the one that the topics read as."""
     if given != inferred:
-        raise ValueError("the schema of the source and the one provided don't match")
+        shown = lambda a, b: ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' not null'}" for f in a.fields if f not in b.fields) or "no other field"
+        raise ValueError(f"the schema given has {shown(given, inferred)} where the topics read as {shown(inferred, given)} (the order of fields counts)")
