@@ -3,11 +3,14 @@
 import datetime as dt
 import random
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
+from comparing import duck, same
 from pyspark.sql import functions as F
 
 from tidewater.operators import loss
+from tidewater.plans import stream_queries
 from tidewater.streaming import joins, losses, sessions, sinks
 from tidewater.streaming.replay import drained, feed, replayed
 
@@ -156,6 +159,17 @@ def test_sessions_and_late_messages(spark, tmp_path):
     assert [sessions.dropped(q) for q in runs] == [0, 1, 0]
 
 
+def test_sessions_that_a_message_in_time_reaches_back_to(spark, tmp_path):
+    # The slice's newest message sets the watermark to minute 11460; the session at 11420 ends before it, the 50th event's own wouldn't.
+    rows = [(1, 12900, 9), (2, 11420, 1), (50, 11440, 1), (3, 11400, 2), (100, 11435, 2), (150, 11429, 3), (4, 11390, 3), (200, 11450, None), (5, 11425, None), (6, 20000, 1)]
+    made = ", ".join(f"({i}, {m}, {'NULL' if u is None else u})" for i, m, u in rows)
+    duckdb.sql(f"""COPY (SELECT event_id::BIGINT AS event_id, TIMESTAMP '2024-01-01' + to_minutes(minute) AS ts, user_id::BIGINT AS user_id, 'view' AS event_type,
+        event_id * 1.5::DOUBLE AS value, '{{}}' AS props FROM (VALUES {made}) v(event_id, minute, user_id)) TO '{tmp_path}/events.parquet'""")
+    df = stream_queries.stream_sessions(spark, str(tmp_path))
+    same(df, duck(tmp_path), stream_queries.ORACLE["stream_sessions"])
+    assert sorted(r.n for r in df.collect() if r.user_id in (1, None)) == [1, 2, 2]
+
+
 def test_replay_of_an_empty_table(spark, tmp_path):
     df = spark.range(3).filter("id > 5")
     replayed(df, F.lit(0), 2, lambda s: drained(s.writeStream.format("parquet").option("path", f"{tmp_path}/rows").option("checkpointLocation", f"{tmp_path}/check")))

@@ -178,4 +178,4 @@ def stream_sessions(spark, sf_dir):
     slices = F.when(F.col("event_id") < 0, SLICES + 1).otherwise(thirds("ts") + (F.col("event_id") % LATE == 0).cast("int"))
     replayed(df.unionByName(beat), slices, SLICES + 2, lambda s: appended(sessions.sessions(s, "user_id", "ts", f"{GAP_MIN} minutes", f"{DELAY_H} hours"), out))
     rows = spark.read.schema("user_id long, start timestamp, end timestamp, n long, total double").parquet(f"{out}/rows")
-    return rows.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n", F.round("total", 2).alias("total"))
+    return sessions.joined(rows, "user_id").select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n", F.round("total", 2).alias("total"))
