@@ -67,6 +67,25 @@ def test_a_hot_topic_is_split_and_most_small_ones_are_one_file(spark, tmp_path):
     assert topic_tables.scan(spark, path).count() == 200_000
 
 
+def written_plan(spark):
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return done.apply(done.size() - 1).physicalPlanDescription()
+
+
+@pytest.mark.parametrize("n", [3, topic_tables.WRITERS + 9])
+def test_topics_are_written_without_a_sort(spark, tmp_path, n):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, df = spark.conf.get(key), spark.range(6_000).select(F.concat(F.lit("t"), (F.col("id") % n).cast("string")).alias("__topic"), "id")
+    topic_tables.publish(df, f"{tmp_path}/log")
+    plan = written_plan(spark)
+    assert "WriteFiles" in plan and "Sort" not in plan
+    topic_tables.TopicSink(f"{tmp_path}/sink").store(df, 0)
+    assert "Sort" not in written_plan(spark) and spark.conf.get(key) == before
+    for path in (f"{tmp_path}/log", f"{tmp_path}/sink/rows"):
+        got = spark.read.parquet(path).select("id", F.col("__topic").cast("string").alias("t"))
+        assert got.filter(F.col("t") == F.concat(F.lit(f"{ROOT}t"), (F.col("id") % n).cast("string"))).distinct().count() == got.count() == 6_000
+
+
 def test_stream_waits_for_its_topic_and_reads_new_partitions_from_their_start(spark, tmp_path):
     path = f"{tmp_path}/log"
     topic_tables.publish(numbers(spark, "other", 100, 105), path)
