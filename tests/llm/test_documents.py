@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -16,8 +17,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from xxhash import xxh3_64_intdigest
 
-from tidewater.llm import contamination, deepshallow, linechunks, linehash, mixing, near, quality, queries, scratch, substrings, tokenstore
+from tidewater.llm import contamination, deepshallow, linechunks, linehash, mixing, near, quality, queries, scratch, shingles, substrings, tokenstore
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
@@ -654,6 +656,27 @@ def test_document_frequencies_do_not_depend_on_partitions(spark):
     assert len(one[0]) == 6 and all(np.array_equal(x, y) for x, y in zip(one, many, strict=True))
 
 
+def test_word_hashes_hold_no_words():
+    tracemalloc.start()
+    try:
+        got = shingles.word_hashes([f"word{i}" for i in range(100_000)])
+        assert tracemalloc.get_traced_memory()[0] < 4_000_000  # the hashes and little else
+    finally:
+        tracemalloc.stop()
+    assert int(got[7]) == xxh3_64_intdigest("word7") and len(np.unique(got)) == 100_000
+
+
+@pytest.mark.parametrize("n", [3, 300])
+def test_shingles_are_counted_by_text(n):
+    rng = np.random.default_rng(n)
+    many = rng.integers(0, 40, n)
+    s = rng.integers(0, 1 << 64, 30, np.uint64)[rng.integers(0, 30, many.sum())]
+    distinct, counts, each = near.counted(s, many)
+    texts = [Counter(x.tolist()) for x in np.split(s, np.cumsum(many)[:-1])]
+    assert [(x, k) for t in texts for x, k in sorted(t.items())] == list(zip(distinct.tolist(), counts.tolist(), strict=True))
+    assert each.tolist() == [len(t) for t in texts]
+
+
 def test_consistent_samples_agree_as_often_as_weights_do():
     rng = np.random.default_rng(3)
     s = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))

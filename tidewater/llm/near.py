@@ -75,8 +75,10 @@ def levels(tf: np.ndarray, s: np.ndarray, common: tuple[np.ndarray, np.ndarray])
 
 def counted(s: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text, in ascending order, their counts, and how many each text has."""
-    doc = np.repeat(np.arange(len(many)), many)
-    order = np.lexsort((s, doc))
+    # By value, then by text, which is a radix sort of narrow numbers: half the time of lexsort.
+    doc = np.repeat(np.arange(len(many), dtype=np.min_scalar_type(len(many))), many)
+    order = np.argsort(s)
+    order = order[np.argsort(doc[order], kind="stable")]
     s, doc = s[order], doc[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (doc[1:] != doc[:-1])
@@ -147,8 +149,10 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         held: list[np.ndarray] = []
         size = 0
         for batch in pieces(batches):
-            s = counted(*shingles.of_texts(batch.column(0).to_pylist(), K))[0]
-            held.append(s[hot.value[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]])
+            s, many = shingles.of_texts(batch.column(0).to_pylist(), K)
+            some = hot.value[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+            of = np.repeat(np.arange(len(many)), many)[some]
+            held.append(counted(s[some], np.bincount(of, minlength=len(many)))[0])
             size += len(held[-1])
             if size > 2_000_000:
                 yield sent(held)
