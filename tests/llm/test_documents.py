@@ -191,6 +191,15 @@ def test_encoder_equals_the_library(text):
     assert enc.encode([text])[0] == np.array(enc.lib.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
 
+def test_pieces_go_to_the_model_itself(monkeypatch):
+    enc, texts = tokenstore.Encoder(PATH, PATTERN), ["".join(map(chr, range(1, 0x250))), "one two\n\nthree 日本 é€𝄞", ""]
+    whole = [np.array(enc.lib.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    given = []
+    ids = enc.ids
+    monkeypatch.setattr(enc, "ids", lambda some, tokenizer: given.extend(some) or ids(some, tokenizer))
+    assert enc.encode(texts) == whole and given == []
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 50_000, 40_000).astype("<u2")

@@ -59,6 +59,9 @@ ROWS = 64
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 NARROW = re.compile(f" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+#: The characters by which byte-level BPE spells bytes; those that can't be seen come from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SPELLED = dict(zip((b for b in range(256) if b not in _SEEN), range(256, 512)))
 
 
 class Encoder:
@@ -74,14 +77,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.lib = Tokenizer.from_file(path)
-        # The same model for what is split already.
-        self.model = self.lib
-        if pattern == BYTE_LEVEL and self.lib.normalizer is None:
-            self.model = Tokenizer(self.lib.model)
-            self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The library's model alone, for what is split already.
+        self.model = self.lib.model if pattern == BYTE_LEVEL and self.lib.normalizer is None else None
         self.any, self.narrow = regex.compile(pattern).findall, NARROW.findall if pattern == BYTE_LEVEL else None
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.kind, self.kind_code = ("<u2", "H") if self.lib.get_vocab_size() < 1 << 16 else ("<u4", "I")
@@ -90,6 +89,13 @@ class Encoder:
     def ids(self, texts: list[str], tokenizer) -> list[bytes]:
         return [array(self.kind_code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as bytes of self.kind; by the model itself, as an encoding of the library's for each takes longer than its merges."""
+        if self.model is None:
+            return self.ids(pieces, self.lib)
+        tokenize = self.model.tokenize
+        return [array(self.kind_code, [t.id for t in tokenize(p.encode().decode("latin-1").translate(SPELLED))]).tobytes() for p in pieces]
+
     def split(self, text: str) -> list[str]:
         return self.narrow(text) if self.narrow is not None and narrow(text) else self.any(text)
 
@@ -103,7 +109,7 @@ class Encoder:
             self.known.clear()
             new = list(pieces)
         del pieces
-        self.known.update(zip(new, self.ids(new, self.model), strict=True))
+        self.known.update(zip(new, self.of_pieces(new), strict=True))
         out = [b"".join(itemgetter(*x)(self.known)) if len(x) > 1 else b"".join(map(self.known.__getitem__, x)) for x in lists]
         for k in new:
             if len(k) > CACHED_CHARS:
